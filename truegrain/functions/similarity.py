@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from truegrain.functions.predicates import as_col
 
@@ -30,7 +31,7 @@ def indel_percent(a: str, b: str) -> float:
     return 100.0 if size == 0 else 200.0 * lcs_length(a, b) / size
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [None if x is None or y is None else indel_percent(x, y) for x, y in zip(a, b)],
