@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from truegrain.functions.predicates import as_col
-from truegrain.operators.ranks import join_back, quantiles, running, value_counts
+from truegrain.operators.ranks import heavy, join_back, quantiles, running, value_counts
 
 
 def share(good: Column, null_is_bad: bool = False) -> Column:
@@ -174,11 +174,11 @@ def detection_quality(scored: DataFrame, score: str, truth: Column, thresholds)
 
 def score_curve(scored: DataFrame, keys: list[str], score: str, truth: Column) -> DataFrame:
     """Per distinct score the counts of rows and of true errors at or above it."""
+    spread = heavy(scored, keys)
     counts = value_counts(scored, keys, score, n=F.lit(1), t=truth.cast("int"))
     flipped = counts.withColumn("_down", -F.col(score))
-    return running(
-        flipped, keys, "_down", {"rows_above": ("sum", "n"), "true_above": ("sum", "t")}, totals=True
-    )
+    sums = {"rows_above": ("sum", "n"), "true_above": ("sum", "t")}
+    return running(flipped, keys, "_down", sums, totals=True, spread=spread)
 
 
 def average_precision(scored: DataFrame, keys: list[str], score: str, truth: Column) -> DataFrame:

@@ -58,8 +58,9 @@ def top_share(df: DataFrame, share: float, score: str, row_id: str) -> DataFrame
     cut = ranked.filter((first < want) & (F.col("upto") >= want)).select(
         F.col(score).alias("cut"), (want - first).alias("need")
     )
-    edge, need = cut.select("cut").scalar(), cut.select("need").scalar()
-    rows = df.withColumn("_cut", edge).withColumn("_need", need)
+    rows = df.withColumn("_edge", cut.select(F.struct("cut", "need")).scalar()).select(
+        *df.columns, F.col("_edge.cut").alias("_cut"), F.col("_edge.need").alias("_need")
+    )
     sure = rows.filter(F.col(score) > F.col("_cut"))
     tied = rows.filter(F.col(score) == F.col("_cut")).withColumn("_one", F.lit(1))
     placed = running(tied, [], row_id, {"_place": ("sum", "_one")})
