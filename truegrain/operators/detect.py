@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from truegrain.functions.scalars import signed_log1p
 from truegrain.operators.ranks import join_back, median_and_mad, medians, running, tail_ranks
+from truegrain.session import materialize
 
 
 def robust_z(df: DataFrame, keys: list[str], value: str, floor: float = 0.05) -> DataFrame:
@@ -238,33 +239,43 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean loss of AUC when one column is shuffled across rows.
 
-    A shuffle pairs row i of one pseudo-random order with row i of another one. Both orders come
-    from running counts over hash values, so no task orders the whole table.
+    A shuffle pairs row i of one pseudo-random order with row i of another one. Both orders are
+    running counts over hash values, so no task orders the whole table. Each repeat joins once;
+    a row then becomes one row per feature with that feature swapped, and all are scored together.
     """
     from truegrain.operators.aggregates import roc_auc
     from truegrain.operators.diff import union_all
 
-    base = _as_text(df, categorical)
-    whole = roc_auc(score_new_rows(model, base, categorical), [], "p", F.col(label)).scalar()
-    numbered = _row_numbers(base.select(row_id), row_id, 0)
-    parts = []
-    for feature in [*categorical, *numeric]:
-        for i in range(repeats):
-            other = _row_numbers(base.select(row_id, feature), row_id, i + 1).select(
-                "_number", F.col(feature).alias("_shuffled")
+    features = [*categorical, *numeric]
+    base = _as_text(df.select(row_id, label, *features), categorical)
+    base = base.select(row_id, F.col(label).cast("boolean").alias(label), *features)
+    whole = roc_auc(score_new_rows(model, base, categorical), [], "p", F.col(label)).first()["auc"]
+    numbered = base.join(_row_numbers(base.select(row_id), row_id, 0), row_id)
+    others = union_all(
+        *[
+            _row_numbers(base, row_id, i + 1).select(
+                "_number", F.lit(i).alias("repeat"), F.struct(*features).alias("_other")
             )
-            mixed = base.drop(feature).join(numbered, row_id).join(other, "_number").withColumnRenamed("_shuffled", feature)
-            scored = score_new_rows(model, mixed.select(*base.columns), categorical)
-            parts.append(
-                roc_auc(scored, [], "p", F.col(label)).select(
-                    F.lit(feature).alias("feature"), F.lit(i).alias("repeat"), "auc"
+            for i in range(repeats)
+        ]
+    )
+    swapped = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(f).alias("feature"),
+                    *[(F.col(f"_other.{c}") if c == f else F.col(c)).alias(c) for c in features],
                 )
-            )
+                for f in features
+            ]
+        )
+    )
+    mixed = numbered.join(others, "_number").select("repeat", label, swapped.alias("x")).select("repeat", label, "x.*")
+    scored = materialize(score_new_rows(model, mixed, categorical).select("feature", "repeat", label, "p"), "shuffled")
     return (
-        union_all(*parts)
-        .withColumn("_whole", whole)
+        roc_auc(scored, ["feature", "repeat"], "p", F.col(label))
         .groupBy("feature")
-        .agg(F.avg(F.col("_whole") - F.col("auc")).alias("importance"))
+        .agg(F.avg(F.lit(whole) - F.col("auc")).alias("importance"))
     )
 
 

@@ -136,20 +136,32 @@ def run_to_files(stream: DataFrame, name: str, partition: str | None = None, fmt
 
 
 def run_routed(stream: DataFrame, name: str, routes: dict[str, Column], folder: str | None = None) -> dict[str, str]:
-    """Send each row of a micro-batch to its sinks; a repeated batch overwrites its own files."""
+    """Send each row of a micro-batch to the first route it fits, in one pass over the batch.
+
+    A repeated batch overwrites its own files. Rows that fit no route are kept under `unrouted`.
+    """
     spark = stream.sparkSession
     folder = folder or scratch_path(spark, name)
-    paths = {route: f"{folder}/{route.replace(' ', '_')}" for route in routes}
+    label = lambda route: route.replace(" ", "_")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for route, condition in routes.items():
-            batch.filter(condition).write.mode("overwrite").parquet(f"{paths[route]}/batch={batch_id}")
+        route = F.lit("unrouted")
+        for r, condition in reversed(routes.items()):
+            route = F.when(condition, label(r)).otherwise(route)
+        batch.withColumn("_route", route).write.mode("overwrite").partitionBy("_route").parquet(
+            f"{folder}/data/batch={batch_id}"
+        )
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(
         availableNow=True
     ).start().awaitTermination()
-    return paths
+    return {r: f"{folder}/data/*/_route={label(r)}" for r in [*routes, "unrouted"]}
 
 
 def read_back(spark, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Files a stream has written; an empty frame where nothing was routed to that place."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.globStatus(hadoop):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("recursiveFileLookup", "true").format(fmt).load(path)
