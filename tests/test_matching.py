@@ -1,0 +1,173 @@
+import math
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from truegrain.functions.similarity import indel_percent
+from truegrain.operators import linkage as L
+from truegrain.operators import match as M
+from truegrain.operators import repair as R
+
+
+def words(rng, n):
+    return sorted({"".join(rng.choice("abcd ") for _ in range(rng.randrange(1, 9))).strip() or "x" for _ in range(n)})
+
+
+@pytest.mark.parametrize("cutoff", [60.0, 80.0, 90.0])
+def test_nearest_equals_brute_force(spark, cutoff):
+    rng = random.Random(int(cutoff))
+    names, values = words(rng, 60), words(rng, 60)
+    catalog = spark.createDataFrame(list(enumerate(names)), "id bigint, name string")
+    out = M.nearest(spark.createDataFrame([(v,) for v in values], "v string"), "v", catalog, "name", "id", cutoff)
+    got = {r.v: (r.best_id, r.similarity) for r in out.collect()}
+    for v in values:
+        score, best = max((indel_percent(v, n), -i) for i, n in enumerate(names))
+        if score >= cutoff:
+            assert got[v][0] == -best and got[v][1] == pytest.approx(score)
+        else:
+            assert got[v] == (None, None)
+
+
+def test_agreeing_tuples_equal_brute_force(spark):
+    rng = random.Random(5)
+    make = lambda n: sorted({tuple(rng.choice("ab") + c for c in "vwxyz") for _ in range(n)})
+    rare, frequent = make(12), make(12)
+    cols = list("vwxyz")
+    schema = ", ".join(f"{c} string" for c in cols)
+    out = M.agreeing_tuples(spark.createDataFrame(rare, schema), spark.createDataFrame(frequent, schema), cols)
+    got = Counter((tuple(r[c] for c in cols), tuple(r[f"f_{c}"] for c in cols)) for r in out.collect())
+    want = {(a, b) for a in rare for b in frequent if 1 <= sum(x != y for x, y in zip(a, b)) <= 2}
+    assert set(got) == want and max(got.values(), default=1) == 1
+
+
+def test_frequency_repair_by_brute_force(spark):
+    good = [("1", "red", "kg")] * 40 + [("2", "blue", "count")] * 35
+    bad = [("1", "rad", "kg"), ("2", "blue", "kg"), ("1", "red", "count")]
+    rows = [(i, *t) for i, t in enumerate(good + bad)]
+    df = spark.createDataFrame(rows, "id bigint, item_id string, name string, unit string")
+    cols = ["item_id", "name", "unit"]
+    out = {(r.row_id, r.column): (r.new_value, r.p) for r in R.repair_by_frequency(df, "id", cols).collect()}
+    counts = Counter(t for t in good)
+    for i, observed in enumerate(bad, start=len(good)):
+        scored = []
+        for f, support in counts.items():
+            differing = [c for c in range(3) if observed[c] != f[c]]
+            if len(differing) > 2:
+                continue
+            logp = math.log(support)
+            for c in range(3):
+                sim = 0.05 if c == 0 else max(indel_percent(observed[c], f[c]) / 100, 0.01)
+                logp += math.log(0.99) if c not in differing else math.log(0.01 * sim)
+            scored.append((logp, f, differing))
+        logp, best, differing = max(scored)
+        p = 1 / sum(math.exp(s - logp) for s, *_ in scored)
+        for c in differing:
+            value, got = out[(str(i), cols[c])]
+            assert value == best[c] and got == pytest.approx(p)
+    assert len(out) == sum(1 for _ in out)
+
+
+def test_fuzzy_repair_decides(spark):
+    catalog = spark.createDataFrame([(1, "Cauliflower"), (2, "Blueberries")], "id bigint, name string")
+    rows = spark.createDataFrame(
+        [(10, 1, "Cauliflour"), (11, 1, "Blueberries"), (12, 2, "Blueberries"), (13, 2, "zzzz")], "row bigint, item bigint, name string"
+    )
+    out = {r.row_id: (r.decision, r.new_value) for r in R.repair_fuzzy(rows, "row", "name", "item", catalog, "name", "id").collect()}
+    assert out == {"10": ("auto", "Cauliflower"), "11": ("review", "Blueberries"), "13": ("review", None)}
+
+
+def test_edits_apply_and_score(spark):
+    df = spark.createDataFrame([(1, "Kg", 2.0), (2, "kg", -1.0)], "id bigint, unit string, v double")
+    edits = R.repair_by_mapping(df, "id", "unit", {"Kg": "kg"}).unionByName(
+        R.as_edits(df.filter("v < 0"), "id", "v", F.lit(None).cast("double"), "negative")
+    )
+    out = [tuple(r) for r in R.apply_edits(df, edits, "id", ["unit", "v"]).orderBy("id").collect()]
+    assert out == [(1, "kg", 2.0), (2, "kg", None)]
+    clean = spark.createDataFrame([(1, "kg", 2.0), (2, "kg", 1.0)], "id bigint, unit string, v double")
+    score = {r.column: (r.correct, r.wrong) for r in R.score_repairs(edits, clean, "id", ["unit", "v"]).collect()}
+    assert score == {"unit": (1, 0), "v": (0, 1)}
+
+
+SPEC = L.LinkSpec("id", ("store",), "day", "amount", "unit")
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(160):
+        amount = rng.choice([None, 0.0, -5.0, 10.0, 10.9, 11.5, 12.0, 40.0, 41.0, 100.0])
+        unit = rng.choice(["kg", "kg", "count", None])
+        rows.append((i, rng.choice([1, 1, 1, 2]), f"2025-01-{rng.randrange(1, 12):02d}", amount, unit))
+    rows += [(1000 + i, 3, "2025-01-05", 7.0, "kg") for i in range(60)]  # one group of copies
+    schema = "id bigint, store bigint, day string, amount double, unit string"
+    return rows, spark.createDataFrame(rows, schema).withColumn("day", F.to_date("day"))
+
+
+def brute_pairs(profiles, all_amounts):
+    day = lambda p: int(p[1][-2:])
+    out = set()
+    for a, b in combinations(sorted(profiles, key=lambda p: (p[1], p[4])), 2):
+        if a[0] != b[0] or day(b) - day(a) > 3:
+            continue
+        x, y = a[2], b[2]
+        near = x is None or y is None or x == y or abs(x - y) / max(abs(x), abs(y)) < 0.15
+        if all_amounts or near:
+            out.add((a[4], b[4]))
+    return out
+
+
+@pytest.mark.parametrize("all_amounts", [False, True])
+def test_linkage_candidates_by_brute_force(records, all_amounts):
+    rows, df = records
+    first = {}
+    for r in rows:
+        key = r[1:]
+        first[key] = min(first.get(key, r[0]), r[0])
+    profiles = [(k[0], k[1], k[2], k[3], i) for k, i in first.items()]
+    out = L.candidate_pairs(L.profiles(df, SPEC), SPEC, all_amounts=all_amounts)
+    got = [(r.id_l, r.id_r) for r in out.select("id_l", "id_r").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(profiles, all_amounts)
+
+
+def test_linkage_counts_match_all_pairs(records):
+    rows, df = records
+    p = L.profiles(df, SPEC)
+    counted = L.pattern_counts(df, p, SPEC)
+    want = Counter()
+    for a, b in combinations(rows, 2):
+        if a[1] == b[1] and a[2] == b[2]:
+            x, y = a[3], b[3]
+            level = None if x is None or y is None else 0 if x == y else 1 if abs(x - y) / max(abs(x), abs(y)) < 0.15 else 2
+            same = None if a[4] is None or b[4] is None else a[4] == b[4]
+            want[(level, same)] += 1
+    for key in want:
+        if key[0] is not None and key[1] is not None:
+            assert counted[key] == pytest.approx(want[key]), key
+
+
+def test_near_share_of_random_pairs(records):
+    rows, df = records
+    amounts = [r[3] for r in rows if r[3] is not None]
+    near = sum(1 for x, y in combinations(amounts, 2) if x != y and abs(x - y) / max(abs(x), abs(y)) < 0.15)
+    share = L._near_share_of_pairs(L.profiles(df, SPEC), SPEC)
+    assert share == pytest.approx(near / (len(amounts) * (len(amounts) - 1) / 2))
+
+
+def test_copies_stay_one_profile_and_training_finds_them(records):
+    _, df = records
+    model, p = L.train(df, SPEC, steps=10)
+    scored = L.linked_row_pairs(L.score_pairs(p, SPEC, model, 0.01))
+    twin = scored.filter("id_l = 1000 and id_r = 1000").first()
+    assert twin.row_pairs == 60 * 59 / 2 and twin.probability > 0.5
+    assert L.members(df, SPEC, p).filter("profile_id = 1000").count() == 60
+    assert model.history == sorted(model.history) or len(model.history) == 10
+
+
+def test_exact_duplicates_take_the_two_lowest_ids(records):
+    rows, df = records
+    out = L.exact_duplicates(df, "id", ["store", "day", "amount"]).filter("id_l = 1000").first()
+    assert (out.id_l, out.id_r, out.rows) == (1000, 1001, 60)
