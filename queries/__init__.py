@@ -26,6 +26,7 @@ FAMILIES = [
     "injection",
     "streams",
     "learning",
+    "extensions",
 ]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.functions.scalars import make_gtin13
-from truegrain.session import load, tune
+from truegrain.session import load, materialize, tune
 
 PERIOD = ("1995-01-01", "2001-12-31")
 
@@ -138,6 +138,12 @@ class Retail:
             self._built[name] = getattr(self, f"_{name}")()
         return self._built[name]
 
+    def stored(self, *names: str) -> "Retail":
+        """Write these derived tables once, for queries that read them many times."""
+        for name in names:
+            self._built[name] = materialize(self[name], name)
+        return self
+
     def _raw(self, name: str) -> DataFrame:
         return load(self.spark, self.directory, name)
 

@@ -80,7 +80,7 @@ def _report_sql():
 
 @query("agg_07_rule_report", _report_sql())
 def agg_07(spark, d):
-    t = Retail(spark, d)
+    t = Retail(spark, d).stored("deliveries", "products")
     rules = [retail_rules(PERIOD)[i] for i in REPORTED]
     return rule_report(run_rules(t, rules), error_log(t))
 
@@ -130,8 +130,8 @@ def _all_checks_sql():
 
 @query("agg_01_share_of_good", f"{CTES} {_all_checks_sql()}")
 def agg_01(spark, d):
-    scores = measure_checks(Retail(spark, d), retail_checks())
-    return scores.withColumn("score", F.round("score", 9))
+    t = Retail(spark, d).stored("sale_cells", "deliveries", "catalog")
+    return measure_checks(t, retail_checks()).withColumn("score", F.round("score", 9))
 
 
 @query(
