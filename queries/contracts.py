@@ -114,6 +114,20 @@ def val_04(spark, d):
     return out.select("line", "reason", "error")
 
 
+@query("val_05_atomic_gate", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1 UNION ALL SELECT 'refused', count(*) FROM (SELECT 1 FROM orders WHERE o_orderstatus = 'P' LIMIT 1)")
+def val_05(spark, d):
+    """One contract lets the whole batch pass, a stricter one refuses it for a single row."""
+    loose = C.TableContract("orders", (C.FieldRule("o_totalprice", "double", required=True),))
+    strict = C.TableContract("orders", (C.FieldRule("o_orderstatus", allowed=("F", "O")),))
+    passed = V.atomic_gate(orders(spark, d), loose).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    try:
+        V.atomic_gate(orders(spark, d), strict)
+        refused = 0
+    except V.BatchRefused:
+        refused = 1
+    return passed.unionByName(spark.createDataFrame([("refused", refused)], "o_orderstatus string, n bigint"))
+
+
 @query(
     "val_06_accept_or_quarantine",
     f"""WITH {BATCH_SQL} SELECT try_cast(price AS DOUBLE) >= 1000 AND customer IS NOT NULL AND customer IN (SELECT c_custkey FROM customer) AND status IN ('F', 'O') AS fine, count(*) AS n
@@ -246,7 +260,11 @@ def val_11(spark, d):
     return out.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count("problems").alias("with_problems"))
 
 
-@query("val_11_unknown_items")
+@query(
+    "val_11_unknown_items",
+    f"""WITH t AS ({NOTICE_SQL}) SELECT CASE WHEN half OR NOT EXISTS (SELECT 1 FROM part WHERE p_name = 'red ring') OR NOT EXISTS (SELECT 1 FROM part WHERE p_name = 'small ring') THEN 'quarantined'
+    WHEN cut OR bad_unit THEN 'ok after retry' ELSE 'ok' END AS status, count(*) AS n FROM t GROUP BY 1""",
+)
 def val_11_items(spark, d):
     """Accepted notices whose items no catalog name resembles are quarantined as well."""
     tune(spark)

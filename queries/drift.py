@@ -138,7 +138,17 @@ def dr_08_first(spark, d):
     return X.first_page_hinkley(ratio_stream(spark, d), ["k"], "day", "x", 14, 0.1, 12.0)
 
 
-@query("dr_08_page_hinkley")
+PH_SQL = f"""WITH RECURSIVE {X_SQL}, q AS (SELECT k, day, x, row_number() OVER (PARTITION BY k ORDER BY day) AS i FROM x),
+s AS (SELECT DISTINCT k, 0::BIGINT AS i, DATE '1900-01-01' AS day, 0::BIGINT AS n, 0::DOUBLE AS mean, 0::DOUBLE AS up, 0::DOUBLE AS down, 1e300::DOUBLE AS lo, -1e300::DOUBLE AS hi, false AS alarm FROM q
+UNION ALL SELECT k, i, day, n, mean, up, down, least(lo, up), greatest(hi, down), n >= 14 AND (up - least(lo, up) > 12 OR greatest(hi, down) - down > 12)
+FROM (SELECT k, i, day, n, mean, 0.9999::DOUBLE * up0 + (x - mean - 0.1::DOUBLE) AS up, 0.9999::DOUBLE * down0 + (x - mean + 0.1::DOUBLE) AS down, lo, hi
+  FROM (SELECT q.k, q.i, q.day, q.x, CASE WHEN s.alarm THEN 1 ELSE s.n + 1 END AS n, CASE WHEN s.alarm THEN q.x ELSE s.mean + (q.x - s.mean) / (s.n + 1) END AS mean,
+        CASE WHEN s.alarm THEN 0 ELSE s.up END AS up0, CASE WHEN s.alarm THEN 0 ELSE s.down END AS down0, CASE WHEN s.alarm THEN 1e300::DOUBLE ELSE s.lo END AS lo, CASE WHEN s.alarm THEN -1e300::DOUBLE ELSE s.hi END AS hi
+        FROM s JOIN q ON q.k = s.k AND q.i = s.i + 1)))
+SELECT k, day FROM s WHERE alarm"""
+
+
+@query("dr_08_page_hinkley", PH_SQL)
 def dr_08(spark, d):
     return X.page_hinkley(ratio_stream(spark, d), ["k"], "day", "x", 14, 0.1, 12.0)
 

