@@ -246,7 +246,8 @@ def notices(spark, d, first=True):
 )
 def val_10(spark, d):
     tune(spark)
-    rows = notices(spark, d).select("o_orderkey", F.explode(doc.notice_errors("answer")).alias("e"))
+    parsed = notices(spark, d).select("o_orderkey", F.try_parse_json("answer").alias("_doc"))
+    rows = parsed.select("o_orderkey", F.explode(doc.notice_errors("_doc")).alias("e"))
     return rows.select("o_orderkey", "e.path", "e.check")
 
 

@@ -189,7 +189,7 @@ def test_notices_with_retry(spark):
 
 def test_notice_lists_all_errors(spark):
     bad = notice([{"product": "Kiwi", "quantity": -1, "unit": "lbs"}], delivery_date="June 5", note="x")
-    df = spark.createDataFrame([(bad,)], "answer string").select(F.explode(doc.notice_errors("answer")).alias("e"))
+    df = spark.createDataFrame([(bad,)], "answer string").select(F.try_parse_json("answer").alias("d")).select(F.explode(doc.notice_errors("d")).alias("e"))
     assert sorted(r.e.path for r in df.collect()) == ["delivery_date", "items.0.quantity", "items.0.unit", "note"]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from truegrain.functions.predicates import conditional_set
 from truegrain.functions.scalars import case_density, density_plausibility, gtin13_valid
 from truegrain.operators.match import nearest, nearest_token_sort
-from truegrain.session import small_side
+from truegrain.session import materialize, small_side
 
 ERRORS = "array<struct<path:string,check:string>>"
 NUMBER_TYPES = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
@@ -21,19 +21,31 @@ def _error(condition: Column, path: str, check: str) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), F.struct(F.lit(path).alias("path"), F.lit(check).alias("check")))
 
 
-def _variant_type(doc: Column, path: str) -> Column:
-    return F.schema_of_variant(F.variant_get(doc, path, "variant"))
+def _paths(spec: dict, path: str = "$") -> list[str]:
+    """Every path a schema looks at."""
+    found = [path]
+    for name, child in spec.get("properties", {}).items():
+        found += _paths(child, f"{path}.{name}")
+    return found
+
 
+def _staged(df: DataFrame, doc: str, spec: dict) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+    """Each path's value and type as columns of their own, so that no check looks them up again."""
+    paths = _paths(spec)
+    values = {f"_v{i}": F.variant_get(F.col(doc), p, "variant") for i, p in enumerate(paths)}
+    kinds = {f"_t{i}": F.coalesce(F.schema_of_variant(F.col(f"_v{i}")), F.lit("VOID")) for i in range(len(paths))}
+    out = df.withColumns(values).withColumns(kinds)
+    return out, {p: (F.col(f"_v{i}"), F.col(f"_t{i}")) for i, p in enumerate(paths)}
 
-def _node_errors(doc: Column, path: str, label: str, spec: dict, required: bool) -> list[Column]:
+
+def _node_errors(at: dict[str, tuple[Column, Column]], path: str, label: str, spec: dict, required: bool) -> list[Column]:
     """Errors of one value of a document; children are looked at only inside an object."""
-    value = F.variant_get(doc, path, "variant")
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    value, kind = at[path]
     there = value.isNotNull()
     found = [_error(~there, label, "required")] if required else []
     wanted = spec.get("type")
-    text = F.try_variant_get(doc, path, "string")
-    number = F.try_variant_get(doc, path, "double")
+    text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "double")
     is_number = F.lit(False)
     for t in NUMBER_TYPES:
         is_number = is_number | kind.startswith(t)
@@ -42,10 +54,8 @@ def _node_errors(doc: Column, path: str, label: str, spec: dict, required: bool)
         found.append(_error(there & ~is_object, label, "type object"))
         needed = set(spec.get("required", ()))
         for name, child in spec["properties"].items():
-            for e in _node_errors(doc, f"{path}.{name}", f"{label}/{name}" if label else name, child, name in needed):
+            for e in _node_errors(at, f"{path}.{name}", f"{label}/{name}" if label else name, child, name in needed):
                 found.append(F.when(is_object, e))
-        if spec.get("additionalProperties", True) is False:
-            found.append(None)  # extra keys are listed by extra_keys
         return found
     if wanted == "integer":
         found.append(_error(there & (kind != "BIGINT"), label, "type integer"))
@@ -70,12 +80,12 @@ def _node_errors(doc: Column, path: str, label: str, spec: dict, required: bool)
     return found
 
 
-def _extra_keys(doc: Column, path: str, label: str, spec: dict) -> list[Column]:
+def _extra_keys(at: dict[str, tuple[Column, Column]], path: str, label: str, spec: dict) -> list[Column]:
     """Keys a closed object does not know, at every level that forbids them."""
     found = []
     if spec.get("type") == "object":
         if spec.get("additionalProperties", True) is False:
-            keys = F.json_object_keys(F.to_json(F.variant_get(doc, path, "variant")))
+            keys = F.json_object_keys(F.to_json(at[path][0]))
             extra = F.array_except(keys, F.array(*[F.lit(k) for k in spec["properties"]]))
             prefix = f"{label}/" if label else ""
             found.append(
@@ -85,26 +95,29 @@ def _extra_keys(doc: Column, path: str, label: str, spec: dict) -> list[Column]:
                 )
             )
         for name, child in spec["properties"].items():
-            found += _extra_keys(doc, f"{path}.{name}", f"{label}/{name}" if label else name, child)
+            found += _extra_keys(at, f"{path}.{name}", f"{label}/{name}" if label else name, child)
     return found
 
 
-def json_errors(doc: Column, schema: dict) -> Column:
-    """Errors of one variant record against a JSON-Schema subset, as an array of (path, check)."""
-    own = [e for e in _node_errors(doc, "$", "", schema, True) if e is not None]
-    parts = [F.array_compact(F.array(*own)).cast(ERRORS)]
-    parts += [p.cast(ERRORS) for p in _extra_keys(doc, "$", "", schema)]
-    return F.concat(*parts)
+def _exploded_errors(df: DataFrame, doc: str, schema: dict, keep: list[str]) -> DataFrame:
+    """One row per error of a variant column.
+
+    The array is built inside the generator: as a column of its own, the optimizer would copy it
+    into a filter below the staged lookups and parse every document once per check.
+    """
+    staged, at = _staged(df, doc, schema)
+    parts = [F.array_compact(F.array(*_node_errors(at, "$", "", schema, True))).cast(ERRORS)]
+    parts += [p.cast(ERRORS) for p in _extra_keys(at, "$", "", schema)]
+    broken = F.array(F.struct(F.lit("").alias("path"), F.lit("not JSON").alias("check"))).cast(ERRORS)
+    errors = F.when(F.col(doc).isNull(), broken).otherwise(F.concat(*parts))
+    return staged.select(*keep, F.explode(errors).alias("e")).select(*keep, "e.path", "e.check")
 
 
 def validate_records(df: DataFrame, column: str, schema: dict | str, row_id: list[str]) -> DataFrame:
     """(row id, path, check) for a column of JSON objects; unparsable text is one error."""
     spec = json.loads(schema) if isinstance(schema, str) else schema
-    doc = F.try_parse_json(F.col(column))
-    rows = df.select(*row_id, F.col(column).alias("_raw"), doc.alias("_doc"))
-    broken = F.array(F.struct(F.lit("").alias("path"), F.lit("not JSON").alias("check"))).cast(ERRORS)
-    errors = F.when(F.col("_doc").isNull(), broken).otherwise(json_errors(F.col("_doc"), spec))
-    return rows.select(*row_id, F.explode(errors).alias("e")).select(*row_id, "e.path", "e.check")
+    rows = df.select(*row_id, F.try_parse_json(F.col(column)).alias("_doc"))
+    return _exploded_errors(rows, "_doc", spec, row_id)
 
 
 def validate_feed(df: DataFrame, column: str, schema: dict | str, row_id: list[str]) -> DataFrame:
@@ -114,9 +127,7 @@ def validate_feed(df: DataFrame, column: str, schema: dict | str, row_id: list[s
     records = df.select(
         *row_id, F.posexplode(F.try_parse_json(F.col(column)).cast("array<variant>")).alias("index", "_doc")
     )
-    return records.select(*row_id, "index", F.explode(json_errors(F.col("_doc"), items)).alias("e")).select(
-        *row_id, "index", "e.path", "e.check"
-    )
+    return _exploded_errors(records, "_doc", items, [*row_id, "index"])
 
 
 def flatten_json(df: DataFrame, column: str, schema: str) -> DataFrame:
@@ -154,9 +165,12 @@ ITEM_FIELDS = ("product", "quantity", "unit")
 UNITS = ("count", "kg", "liter")
 
 
-def notice_errors(column: str = "answer") -> Column:
-    """All errors of a delivery notice with dotted paths; cut-off JSON is a single error."""
-    doc = F.try_parse_json(F.col(column))
+def notice_errors(parsed: str) -> Column:
+    """All errors of a delivery notice with dotted paths; cut-off JSON is a single error.
+
+    `parsed` names a variant column (try_parse_json of the text), so that each text is parsed once.
+    """
+    doc = F.col(parsed)
     text = lambda v, path: F.try_variant_get(v, path, "string")
     kind = lambda v, path: F.coalesce(F.schema_of_variant(F.variant_get(v, path, "variant")), F.lit("VOID"))
     items = F.try_variant_get(doc, "$.items", "array<variant>")
@@ -210,27 +224,34 @@ def validate_with_retry(
     errors: Callable[[str], Column] = notice_errors,
 ) -> DataFrame:
     """First answers; where invalid, the retry answer is judged instead. Status: ok, ok after retry,
-    quarantined. Retries are joined to the failed rows only."""
-    judged = first.withColumn("errors", errors(answer))
-    good = judged.filter(F.size("errors") == 0).select(row_id, answer, F.lit("ok").alias("status"), F.lit(None).cast("string").alias("problems"))
-    failed = judged.filter(F.size("errors") > 0).select(row_id, F.col(answer).alias("_first"), F.col("errors").alias("_first_errors"))
-    second = failed.join(retry.select(row_id, answer), row_id, "left").withColumn(
-        "errors", F.when(F.col(answer).isNull(), F.col("_first_errors")).otherwise(errors(answer))
+    quarantined. `errors` maps the name of a parsed column to an array of errors.
+
+    One left join and one projection: splitting on the verdict would judge every document twice.
+    """
+    second = retry.select(row_id, F.col(answer).alias("_retry"))
+    parsed = first.select(row_id, answer).join(second, row_id, "left").withColumns(
+        {"_first_doc": F.try_parse_json(F.col(answer)), "_retry_doc": F.try_parse_json(F.col("_retry"))}
+    )
+    judged = parsed.withColumn("_first_errors", errors("_first_doc"))
+    failed = F.size("_first_errors") > 0
+    judged = judged.withColumn(
+        "errors",
+        F.when(failed & F.col("_retry").isNotNull(), errors("_retry_doc")).otherwise(F.col("_first_errors")),
     )
-    fine = F.size("errors") == 0
-    repaired = second.select(
+    bad = F.size("errors") > 0
+    return judged.select(
         row_id,
-        F.coalesce(answer, "_first").alias(answer),
-        F.when(fine, "ok after retry").otherwise("quarantined").alias("status"),
-        F.when(~fine, problems_text()).alias("problems"),
+        F.when(failed, F.coalesce("_retry", answer)).otherwise(F.col(answer)).alias(answer),
+        F.when(bad, "quarantined").when(failed, "ok after retry").otherwise("ok").alias("status"),
+        F.when(bad, problems_text()).alias("problems"),
     )
-    return good.unionByName(repaired)
 
 
 def quarantine_unknown_items(
     judged: DataFrame, row_id: str, catalog: DataFrame, name: str, name_id: str, answer: str = "answer", cutoff: float = 90.0
 ) -> DataFrame:
     """Accepted documents with an item no catalog name resembles at the cutoff go to quarantine too."""
+    judged = materialize(judged, "judged")
     accepted = judged.filter(F.col("status") != "quarantined")
     items = accepted.select(
         row_id, F.explode(F.try_variant_get(F.try_parse_json(F.col(answer)), "$.items", "array<variant>")).alias("_i")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -104,7 +105,7 @@ def _months(start: dt.date, end: dt.date) -> list[tuple[dt.date, dt.date]]:
 
 def backtest(
     df: DataFrame, spec: ForecastSpec, start: dt.date, end: dt.date, when: str = "never", window_days: int | None = None,
-    min_gap_days: int = 14, detector: PageHinkley | None = None,
+    min_gap_days: int = 14, detector: PageHinkley | None = None, parallelism: int = 4,
 ) -> tuple[DataFrame, list[dt.date]]:
     """(predictions of every day in the period, retraining days).
 
@@ -123,10 +124,14 @@ def backtest(
             history = history.filter(day >= F.lit(at - dt.timedelta(days=days)))
         return ForecastModel(*_fit(history, spec))
 
+    periods = [(start, end)] if when == "never" else _months(start, end)
+    due = [first for first, _ in periods if when == "monthly" and first.day == 1 and first > start]
+    with ThreadPool(parallelism) as pool:  # scheduled fits do not depend on each other
+        scheduled = dict(zip(due, pool.map(lambda first: fit(first, window_days), due)))
     model = fit(start, None)
-    for first, stop in [(start, end)] if when == "never" else _months(start, end):
-        if when == "monthly" and first.day == 1 and first > last:
-            model, last = fit(first, window_days), first
+    for first, stop in periods:
+        if first in scheduled:
+            model, last = scheduled[first], first
             retrains.append(first)
         at = first
         while at <= stop:
