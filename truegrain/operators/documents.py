@@ -186,29 +186,35 @@ def notice_errors(parsed: str) -> Column:
         lambda k: F.struct(k.alias("path"), F.lit("unexpected").alias("check")),
     )
 
+    def facts(x: Column) -> Column:
+        """What the checks of one item need, looked up once."""
+        keys = F.json_object_keys(F.to_json(x))
+        return F.struct(
+            kind(x, "$.product").alias("product"),
+            kind(x, "$.quantity").rlike(f"^({'|'.join(NUMBER_TYPES)})").alias("numeric"),
+            F.try_variant_get(x, "$.quantity", "double").alias("quantity"),
+            text(x, "$.unit").alias("unit"),
+            F.array_except(keys, F.array(*[F.lit(f) for f in ITEM_FIELDS])).alias("unknown"),
+        )
+
     def item_errors(x: Column, i: Column) -> Column:
         at = lambda name: F.concat(F.lit("items."), i.cast("string"), F.lit(f".{name}"))
         err = lambda cond, name, check: F.when(
             F.coalesce(cond, F.lit(False)), F.struct(at(name).alias("path"), F.lit(check).alias("check"))
         )
-        quantity = F.try_variant_get(x, "$.quantity", "double")
-        numeric = F.lit(False)
-        for t in NUMBER_TYPES:
-            numeric = numeric | kind(x, "$.quantity").startswith(t)
-        unit = text(x, "$.unit")
-        unknown = F.array_except(F.json_object_keys(F.to_json(x)), F.array(*[F.lit(f) for f in ITEM_FIELDS]))
+        numeric, quantity, unit = x["numeric"], x["quantity"], x["unit"]
         checks = F.array_compact(F.array(
-            err(kind(x, "$.product") != "STRING", "product", "text required"),
+            err(x["product"] != "STRING", "product", "text required"),
             err(~numeric, "quantity", "number required"),
             err(numeric & (quantity <= 0), "quantity", "must be positive"),
             err(numeric & (quantity > 0) & (unit == "count") & (quantity != F.floor(quantity)), "quantity", "whole number for count"),
             err(~F.coalesce(unit.isin(list(UNITS)), F.lit(False)), "unit", "not a unit"),
         )).cast(ERRORS)
-        others = F.transform(unknown, lambda k: F.struct(
+        others = F.transform(x["unknown"], lambda k: F.struct(
             F.concat(F.lit("items."), i.cast("string"), F.lit("."), k).alias("path"), F.lit("unexpected").alias("check"))).cast(ERRORS)
         return F.concat(checks, F.coalesce(others, F.array().cast(ERRORS)))
 
-    per_item = F.flatten(F.transform(F.coalesce(items, F.array().cast("array<variant>")), item_errors))
+    per_item = F.flatten(F.transform(F.transform(F.coalesce(items, F.array().cast("array<variant>")), facts), item_errors))
     broken = F.array(F.struct(F.lit("").alias("path"), F.lit("not JSON").alias("check"))).cast(ERRORS)
     return F.when(doc.isNull(), broken).otherwise(
         F.concat(F.array_compact(F.array(*top)).cast(ERRORS), F.coalesce(extra.cast(ERRORS), F.array().cast(ERRORS)), per_item)
