@@ -27,7 +27,7 @@ def dr_01(spark, d):
     return X.psi(orders(spark, d), ["o_orderstatus"], "o_orderpriority", is_ref()).withColumn("psi", F.round("psi", 9))
 
 
-KS = """SELECT {key}, value, sum(r) OVER w / sum(r) OVER (PARTITION BY {key}) AS fr, sum(q) OVER w / sum(q) OVER (PARTITION BY {key}) AS fq
+KS = """SELECT {key}, value, sum(r) OVER w / nullif(sum(r) OVER (PARTITION BY {key}), 0) AS fr, sum(q) OVER w / nullif(sum(q) OVER (PARTITION BY {key}), 0) AS fq
 FROM (SELECT {key}, {value} AS value, count(*) FILTER ({ref}) AS r, count(*) FILTER (NOT ({ref})) AS q FROM {table} GROUP BY 1, 2) WINDOW w AS (PARTITION BY {key} ORDER BY value)"""
 
 
@@ -77,7 +77,7 @@ def labelled(spark, d):
     kl AS (SELECT week, max(abs(fr - fq)) AS ks_log FROM ({KS.format(key="week", value="ln(1 + o_totalprice)", ref="ref", table="lab")}) GROUP BY 1),
     m AS (SELECT week, avg(o_totalprice) FILTER (NOT ref) - avg(o_totalprice) FILTER (ref) AS shift FROM lab GROUP BY 1),
     c AS (SELECT week, o_orderpriority, count(*) FILTER (ref) AS r, count(*) FILTER (NOT ref) AS q FROM lab GROUP BY 1, 2),
-    s AS (SELECT week, r / sum(r) OVER (PARTITION BY week) + 1e-4::DOUBLE AS p, q / sum(q) OVER (PARTITION BY week) + 1e-4::DOUBLE AS q FROM c), x AS (SELECT week, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1)
+    s AS (SELECT week, r / nullif(sum(r) OVER (PARTITION BY week), 0) + 1e-4::DOUBLE AS p, q / nullif(sum(q) OVER (PARTITION BY week), 0) + 1e-4::DOUBLE AS q FROM c), x AS (SELECT week, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1)
     SELECT week, round(ks, 9) AS ks, round(ks_log, 9) AS ks_log, round(shift, 4) AS mean_shift, round(psi, 8) AS psi FROM k JOIN kl USING (week) JOIN m USING (week) JOIN x USING (week)""",
 )
 def dr_05(spark, d):
@@ -85,8 +85,9 @@ def dr_05(spark, d):
     return out.select("week", F.round("ks", 9).alias("ks"), F.round("ks_log", 9).alias("ks_log"), F.round("mean_shift", 4).alias("mean_shift"), F.round("psi", 8).alias("psi"))
 
 
-JS = """SELECT {key}, sqrt(greatest(sum(((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2), 0)) AS distance
-FROM (SELECT {key}, r / sum(r) OVER (PARTITION BY {key}) AS p, q / sum(q) OVER (PARTITION BY {key}) AS q FROM (SELECT {key}, {value} AS value, count(*) FILTER ({ref}) AS r, count(*) FILTER (NOT ({ref})) AS q FROM {table} GROUP BY 1, 2)) GROUP BY 1"""
+# a week without orders on one side has no distance (NULL), and is not called drifted
+JS = """SELECT {key}, CASE WHEN count(p) > 0 AND count(q) > 0 THEN sqrt(greatest(sum(((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2), 0)) END AS distance
+FROM (SELECT {key}, r / nullif(sum(r) OVER (PARTITION BY {key}), 0) AS p, q / nullif(sum(q) OVER (PARTITION BY {key}), 0) AS q FROM (SELECT {key}, {value} AS value, count(*) FILTER ({ref}) AS r, count(*) FILTER (NOT ({ref})) AS q FROM {table} GROUP BY 1, 2)) GROUP BY 1"""
 WASS = """SELECT {key}, sum(abs(fr - fq) * (nextv - value)) / any_value(sd) AS distance FROM (SELECT *, lead(value) OVER (PARTITION BY {key} ORDER BY value) AS nextv FROM ({ks})) JOIN (SELECT {key}, stddev_pop({value}) FILTER ({ref}) AS sd FROM {table} GROUP BY 1) USING ({key}) GROUP BY 1"""
 
 
@@ -98,14 +99,14 @@ def _columns_sql():
 
 @query(
     "dr_06_column_drift",
-    f"WITH {WEEKS}, {_columns_sql()} SELECT week, column_name, round(distance, 7) AS distance, round(distance, 7) > 0.1 AS drifted FROM cols",
+    f"WITH {WEEKS}, {_columns_sql()} SELECT week, column_name, round(distance, 7) AS distance, coalesce(round(distance, 7) > 0.1, false) AS drifted FROM cols",
 )
 def dr_06(spark, d):
     out = X.column_drift(labelled(spark, d), ["week"], ["o_totalprice"], ["o_orderpriority", "o_orderstatus"], F.col("is_reference"))
     return out.select("week", "column_name", F.round("distance", 7).alias("distance"), "drifted")
 
 
-@query("dr_06_drifted_share", f"WITH {WEEKS}, {_columns_sql()} SELECT week, round(avg((distance > 0.1)::INT), 9) AS drifted_share FROM cols GROUP BY 1")
+@query("dr_06_drifted_share", f"WITH {WEEKS}, {_columns_sql()} SELECT week, round(avg(coalesce(distance > 0.1, false)::INT), 9) AS drifted_share FROM cols GROUP BY 1")
 def dr_06_share(spark, d):
     cols = X.column_drift(labelled(spark, d), ["week"], ["o_totalprice"], ["o_orderpriority", "o_orderstatus"], F.col("is_reference"))
     return X.drifted_share(cols, ["week"]).withColumn("drifted_share", F.round("drifted_share", 9))
@@ -175,7 +176,7 @@ LIMITS = [
     {"metric": "mae", "max": 20000.0, "owner": "forecasting"},
     {"metric": "mean error", "min": -3000.0, "max": 3000.0, "owner": "forecasting"},
 ]
-ALERTS_SQL = f"""WITH {WEEKS}, {_columns_sql()}, m AS (SELECT week, 'drifted share' AS metric, avg((distance > 0.1)::INT) AS value FROM cols GROUP BY 1
+ALERTS_SQL = f"""WITH {WEEKS}, {_columns_sql()}, m AS (SELECT week, 'drifted share' AS metric, avg(coalesce(distance > 0.1, false)::INT) AS value FROM cols GROUP BY 1
 UNION ALL SELECT week, 'out of range', count(*) FILTER (NOT o_totalprice BETWEEN 1000 AND 499000)::DOUBLE FROM lab WHERE NOT ref GROUP BY 1
 UNION ALL SELECT week, 'mae', avg(abs(round(o_totalprice, -5) - o_totalprice)) FROM lab WHERE NOT ref GROUP BY 1
 UNION ALL SELECT week, 'mean error', avg(round(o_totalprice, -5) - o_totalprice) FROM lab WHERE NOT ref GROUP BY 1),

@@ -118,7 +118,7 @@ def _next_value(df: DataFrame, keys: list[str], value: str, spread: bool) -> Dat
 
 
 def jensen_shannon(df: DataFrame, keys: list[str], category: str, is_reference: Column) -> DataFrame:
-    """Jensen-Shannon distance (base 2, square root) of a category, per key."""
+    """Jensen-Shannon distance (base 2, square root) of a category, per key; NULL if a side is empty."""
     counts = df.groupBy(*keys, category).agg(
         F.sum(F.when(is_reference, 1).otherwise(0)).alias("_r"),
         F.sum(F.when(is_reference, 0).otherwise(1)).alias("_c"),
@@ -129,8 +129,9 @@ def jensen_shannon(df: DataFrame, keys: list[str], category: str, is_reference:
     m = (p + q) / 2
     term = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     divergence = F.sum((term(p) + term(q)) / 2)
+    both = (F.max("_rt") > 0) & (F.max("_ct") > 0)
     return join_back(counts, totals, keys).groupBy(*keys).agg(
-        F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("distance")
+        F.when(both, F.sqrt(F.greatest(divergence, F.lit(0.0)))).alias("distance")
     )
 
 
@@ -138,7 +139,10 @@ def column_drift(
     df: DataFrame, keys: list[str], numeric: list[str], categorical: list[str], is_reference: Column,
     limit: float = 0.1, methods: dict[str, str] | None = None,
 ) -> DataFrame:
-    """(keys, column_name, method, distance, drifted) per column. Methods: wasserstein, ks, js, psi."""
+    """(keys, column_name, method, distance, drifted) per column. Methods: wasserstein, ks, js, psi.
+
+    Where one side has no rows the distance is NULL and the column is not called drifted.
+    """
     methods = methods or {}
     parts = []
     for c in [*numeric, *categorical]:
