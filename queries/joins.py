@@ -183,8 +183,8 @@ def jn_12(spark, d):
     "jn_13_seasonal_windows",
     """WITH w AS (SELECT DATE '2000-01-03' + (i * 7)::INT AS week FROM range(0, 51) t(i)),
     o AS (SELECT o_orderdate::DATE AS day, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY 1)
-    SELECT week, sum(n) FILTER (day BETWEEN week AND week + 6)::BIGINT AS current_orders,
-           sum(n) FILTER (day BETWEEN week - 378 AND week - 344)::BIGINT AS reference_orders
+    SELECT week, coalesce(sum(n) FILTER (day BETWEEN week AND week + 6), 0)::BIGINT AS current_orders,
+           coalesce(sum(n) FILTER (day BETWEEN week - 378 AND week - 344), 0)::BIGINT AS reference_orders
     FROM w JOIN o ON day BETWEEN week AND week + 6 OR day BETWEEN week - 378 AND week - 344 GROUP BY 1""",
 )
 def jn_13(spark, d):
