@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ RUNTIME_SETTINGS = {
 
 BROADCAST_ROWS = 200_000
 
+_scratch: list[str] = []
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
@@ -28,20 +31,39 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach; a temporary one only where the cluster names none."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors can reach, from spark.checkpoint.dir; without it only a local master will do.
+
+    A local master has one machine, so its warehouse folder is shared by all its threads.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    path = tempfile.mkdtemp(prefix="truegrain-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} can reach")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes when the session's Python ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(clear_scratch)
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch() -> None:
+    """Delete the scratch tables of this session, if it still runs."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
