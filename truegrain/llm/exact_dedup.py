@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truegrain.llm.common import UPPER, apply_decisions, bitmap, decisions, in_bitmap
 from truegrain.session import materialize
@@ -12,7 +13,7 @@ from truegrain.session import materialize
 PREFIX = 64
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def full_hash(texts):
     """sha256 of the text with A-Z lower-cased, in UTF-8, as lower-case hex; null for null."""
     import hashlib

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from truegrain.llm.common import WORD
 from truegrain.session import materialize
 
+#: Seeds that a source can have.
+TURNS = 32
+
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
     """`docs` with _size (words; null: 0), _source and _draw in [0, 1), which depends on seed and key only.
@@ -49,11 +52,38 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = (1, 2, 3), most: i
     return cut.withColumn("_target", target).withColumn("_rate", rate).select(F.col("_source").alias("_from"), "_total", "_target", "_rate")
 
 
+def _extra(turn: Column) -> Column:
+    """Whether a row's draw, turned by a constant around [0, 1), is under the fraction of its source's rate."""
+    turned = F.col("_draw") + turn
+    turned = turned - F.floor(turned)
+    return F.when(turned < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+
+
+def seeded_targets(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """Add _turn, a source's seed: of TURNS turns of the draws the one whose words come nearest its target.
+
+    Each turn gives every document the same probability; a few long documents can take a single
+    set of draws far from the target, and one of several sets comes near it. All sums are taken in one
+    pass over narrow rows and combined before the shuffle.
+    """
+    joined = sized.join(targets, F.col("_source").eqNullSafe(F.col("_from")))
+    taken = [F.sum(F.col("_size") * (F.floor("_rate") + _extra(F.lit(i / TURNS)))).alias(f"_t{i}") for i in range(TURNS)]
+    sums = joined.groupBy("_from", "_target").agg(*taken)
+    misses = [F.struct(F.abs(F.col(f"_t{i}") - F.col("_target")).alias("miss"), F.lit(i / TURNS).alias("turn")) for i in range(TURNS)]
+    best = sums.select(F.col("_from").alias("_of"), F.least(*misses).getField("turn").alias("_turn"))
+    return targets.join(best, F.col("_from").eqNullSafe(F.col("_of"))).drop("_of")
+
+
 def mix(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Add _total, _target, _rate and _copies: floor(rate) copies and one more with the fraction's probability."""
     joined = sized.join(targets, F.col("_source").eqNullSafe(F.col("_from"))).drop("_from")
-    whole = F.floor("_rate")
-    return joined.withColumn("_copies", (whole + F.when(F.col("_draw") < F.col("_rate") - whole, 1).otherwise(0)).cast("int"))
+    return joined.withColumn("_copies", (F.floor("_rate") + _extra(F.col("_turn"))).cast("int"))
+
+
+def planned(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """Targets, rates and seeds of the sources, written so that Spark knows how few rows they are."""
+    targets = materialize(source_targets(sized, weights, most), "targets")
+    return materialize(seeded_targets(sized, targets), "seeds")
 
 
 def mix_report(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -64,17 +94,16 @@ def mix_report(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int =
     gives no rows.
     """
     sized = materialize(measured(docs).select("doc_id", "_source", "_size", "_draw"), "sizes")
-    targets = materialize(source_targets(sized, weights, most), "targets")
-    rows = mix(sized, targets)
+    rows = mix(sized, planned(sized, weights, most))
     return rows.select("doc_id", F.col("_size").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of `docs`.
 
-    The source totals are written first, so Spark knows their size and need not shuffle the texts.
+    Sizes and source plans are written first and few, so the texts are read twice and not shuffled.
     """
     sized = measured(docs)
-    targets = materialize(source_targets(sized.select("_source", "_size"), weights, most), "targets")
+    plan = planned(materialize(sized.select("_source", "_size", "_draw"), "sizes"), weights, most)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")
-    return mix(sized, targets).select(*(F.col(f"`{c}`") for c in docs.columns), copies).drop("_copy")
+    return mix(sized, plan).select(*(F.col(f"`{c}`") for c in docs.columns), copies).drop("_copy")

@@ -85,9 +85,15 @@ ORACLES = {
                 weight * (everything - 3 * coalesce((SELECT sum(total) FROM cuts WHERE cut), 0)::DOUBLE) / (SELECT sum(weight) FROM cuts WHERE NOT cut) END AS target
             FROM cuts
         ), rates AS (SELECT *, CASE WHEN total > 0 THEN target / total ELSE 0 END AS rate FROM targets),
-        counted AS (
-            SELECT doc_id, size, total AS source_size, target, (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::INTEGER AS copies
-            FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
+        turned AS (
+            SELECT sized.*, rates.total, rates.target, turn, (floor(rate) + CASE WHEN draw + turn - floor(draw + turn) < rate - floor(rate) THEN 1 ELSE 0 END)::INTEGER AS copies
+            FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source CROSS JOIN (SELECT range / 32.0::DOUBLE AS turn FROM range(32))
+        ), seeds AS (
+            SELECT source, turn FROM turned GROUP BY source, target, turn
+            QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(size * copies)::DOUBLE - target), turn) = 1
+        ), counted AS (
+            SELECT doc_id, size, total AS source_size, target, copies
+            FROM turned JOIN seeds ON turned.source IS NOT DISTINCT FROM seeds.source AND turned.turn = seeds.turn
         )
         SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM counted
     """,
@@ -100,9 +106,9 @@ ORACLES = {
     "op10_neighbours": """
         WITH vectors AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), measured AS (
-            SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])), (s, x) -> s + x)) AS score
+            SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda s, x: s + x)) AS score
             FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
         ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM measured)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truegrain.llm.common import apply_decisions, decisions, group_starts, whole_groups
 from truegrain.llm.components import components
@@ -35,7 +36,7 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprint(texts):
     """The fingerprint of each text as a signed 64-bit number; null and blank texts have 0."""
     import numpy as np
