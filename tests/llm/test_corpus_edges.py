@@ -194,3 +194,24 @@ def test_neighbours_by_brute_force_with_ties_and_odd_vectors(spark):
     assert [r[:3] for r in sorted(got)] == [r[:3] for r in sorted(expected)]
     assert all(math.isclose(a[3], b[3]) for a, b in zip(sorted(got), sorted(expected), strict=True))
     assert nearest_neighbours(df.limit(0), df).collect() == [] and nearest_neighbours(df, df.limit(0)).collect() == []
+
+
+def test_word_ids_equal_the_tokenizer_on_odd_texts():
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from truegrain.llm.tokens import WordIds, tokenizer_path
+
+    words = WordIds(tokenizer_path())
+    characters = st.one_of(st.text(), st.text(st.sampled_from("aZé ß'sµİΣς.,!$&&&12½²ª \u0085­\n\t́ñ<|endoftext|>")))
+
+    @settings(max_examples=400, deadline=None)
+    @given(characters)
+    def same(text):
+        expected = words.encoder.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == expected
+
+    same()
+    for text in ("don't <|endoftext|> It's", "x<|endoftext|>y", "<|EndOfText|>", "und&&& ungtz,$$$ ½²ª", "a" * 5000 + "," + "é" * 3000):
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == words.encoder.encode(text, add_special_tokens=False).ids
