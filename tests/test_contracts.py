@@ -235,3 +235,30 @@ def test_expectations(spark):
     examples = {r.column_name: r.examples for r in X.unexpected_examples(df, suite).collect()}
     assert examples == {"id": ["2"], "q": ["-1.0"], "unit": ["lbs"]}
     assert X.unexpected_rows(df, suite[1]).count() == 2
+
+
+def test_load_with_two_keys_admits_rows_whose_blocker_was_refused(spark):
+    contract = C.from_dict({"name": "items", "fields": {"id": {"type": "bigint", "required": True, "unique": True}, "code": {"unique": True}}})
+    rows = [(1, "5", "X"), (2, "5", "B"), (3, "6", "B"), (4, "7", None), (5, "8", None), (6, "5", "C"), (7, "9", "C"), (8, None, "D"), (9, "10", "D"), (10, "10", "E"), (11, "11", "E")]
+    batch = spark.createDataFrame(rows, "line bigint, id string, code string")
+    existing = spark.createDataFrame([(1, "X"), (2, None)], "id bigint, code string")
+    got = {r.line: r.reason for r in V.ddl_load(batch, existing, contract, ["line"]).collect()}
+    ids, codes, plain = {1}, {"X"}, {}
+    for line, i, code in rows:
+        if i is None:
+            plain[line] = "id required"
+        elif int(i) in ids:
+            plain[line] = "id duplicate key"
+        elif code in codes:
+            plain[line] = "code duplicate key"
+        else:
+            plain[line] = None
+            ids.add(int(i))
+            codes |= {code} - {None}
+    assert got == plain
+
+
+def test_learned_sets_do_not_depend_on_an_estimate(spark):
+    df = spark.createDataFrame([(f"v{i % 20}", f"w{i % 21}") for i in range(500)], "few string, many string")
+    fields = {f.name: f.allowed for f in C.learn(df, "t", 20).fields}
+    assert len(fields["few"]) == 20 and fields["many"] is None

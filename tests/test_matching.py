@@ -171,3 +171,22 @@ def test_exact_duplicates_take_the_two_lowest_ids(records):
     rows, df = records
     out = L.exact_duplicates(df, "id", ["store", "day", "amount"]).filter("id_l = 1000").first()
     assert (out.id_l, out.id_r, out.rows) == (1000, 1001, 60)
+
+
+def test_pair_quality_counts_rows_behind_profiles(spark):
+    from truegrain.operators.linkage import pair_quality
+
+    scored = spark.createDataFrame([(1, 3, 0.9), (3, 4, 0.4)], "id_l long, id_r long, probability double")
+    members = spark.createDataFrame([(1, 1), (1, 2), (3, 3), (4, 4)], "profile_id long, row long")
+    truth = spark.createDataFrame([(1, 2), (3, 2), (1, 3)], "id_l long, id_r long")
+    rows = {r.threshold: (r.found, r.right, r.precision, r.recall) for r in pair_quality(scored, truth, [0.3, 0.8, 0.95], members, "row").collect()}
+    assert rows == {0.3: (4, 3, 0.75, 1.0), 0.8: (3, 3, 1.0, 1.0), 0.95: (1, 1, 1.0, 1 / 3)}
+
+
+def test_missing_cells_of_any_grid(spark):
+    from truegrain.operators.aggregates import missing_cells
+
+    cells = {("a", 1), ("a", 5), ("b", 3), ("c", 1), ("c", 3), ("c", 5), ("d", None)}
+    df = spark.createDataFrame(sorted(cells, key=str), "k string, day int")
+    got = {(r.k, r.day) for r in missing_cells(df, "day", "k").collect()}
+    assert got == {(k, d) for k in "abcd" for d in (1, 3, 5)} - cells

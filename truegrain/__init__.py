@@ -1,4 +1,4 @@
-"""truegrain: data-quality, repair and drift operators for Spark DataFrames."""
+"""truegrain: checks, repairs and monitoring of tables as Spark DataFrame operators."""
 
 import sys
 

@@ -45,21 +45,21 @@ def grid_completeness(df: DataFrame, a: str, b: str, value: str | None = None, n
 
 
 def missing_cells(df: DataFrame, axis: str, keys: str) -> DataFrame:
-    """The empty cells of the (axis, key) grid.
+    """The empty cells of the (axis, key) grid, whatever its size.
 
-    Each key looks up its own seen axis values in the array of all of them; the axis is a calendar
-    or another closed list, and its size is checked before it travels with the plan.
+    Axis values get consecutive places; a key's missing cells are the gaps between the places it has,
+    so the work follows the cells seen and the cells missing. NULLs are no axis value.
     """
     seen = df.select(axis, keys).distinct()
-    size = seen.select(axis).distinct().limit(100_001).count()
-    if size > 100_000:
-        raise ValueError(f"axis {axis} has over 100000 values: use a calendar or a coarser axis")
-    full = seen.agg(F.sort_array(F.collect_set(axis)).alias("all")).scalar()
-    per_key = seen.groupBy(keys).agg(F.collect_set(axis).alias("have"))
-    return (
-        per_key.withColumn("all", full)
-        .select(keys, F.explode(F.array_except("all", "have")).alias(axis))
-    )
+    places = seen.select(axis).distinct().filter(F.col(axis).isNotNull())
+    places = places.withColumn("_place", F.row_number().over(Window.orderBy(axis)))
+    last = places.agg(F.coalesce(F.max("_place"), F.lit(0)).alias("n")).scalar()
+    taken = seen.join(places, axis, "left").select(keys, F.coalesce("_place", F.lit(0)).alias("_to"))
+    ends = seen.select(keys).distinct().select(keys, (last + 1).alias("_to"))
+    before = F.lag("_to", 1, 0).over(Window.partitionBy(keys).orderBy("_to"))
+    gaps = taken.unionByName(ends).withColumn("_from", before + 1).filter(F.col("_from") < F.col("_to"))
+    holes = gaps.select(keys, F.explode(F.sequence("_from", F.col("_to") - 1)).alias("_place"))
+    return holes.join(places, "_place").select(keys, axis)
 
 
 def group_mode(df: DataFrame, keys: list[str], value: str, name: str = "mode") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from truegrain.functions.predicates import conditional_set
 from truegrain.functions.scalars import case_density, density_plausibility, gtin13_valid
 from truegrain.operators.match import nearest, nearest_token_sort
-from truegrain.session import materialize, small_side
+from truegrain.session import materialize
 
 ERRORS = "array<struct<path:string,check:string>>"
 NUMBER_TYPES = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
@@ -325,7 +325,7 @@ def findings(df: DataFrame, catalog: DataFrame, densities: dict[str, float], row
     per category, density of a full case, and (with `names`) a similar name in the catalog.
     """
     out = df.withColumn("_schema", schema_findings())
-    used = small_side(catalog.groupBy("gtin").agg(F.min_by("name", "id").alias("_other")))
+    used = catalog.groupBy("gtin").agg(F.min_by("name", "id").alias("_other"))
     out = out.join(used, "gtin", "left")
     typical = F.create_map(*[F.lit(x) for kv in densities.items() for x in kv])
     num = lambda c: F.col(c).try_cast("double")

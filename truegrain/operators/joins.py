@@ -9,14 +9,13 @@ from truegrain.functions.predicates import as_col, null_safe_ne
 from truegrain.functions.scalars import pad_code
 from truegrain.operators.ranks import running
 from truegrain.operators.windows import previous_value
-from truegrain.session import small_side
 
 
 
 
 def lookup(df: DataFrame, reference: DataFrame, on: Column) -> DataFrame:
     """Left join to a reference table, broadcast only when its counted size allows."""
-    return df.join(small_side(reference), on, "left")
+    return df.join(reference, on, "left")
 
 
 def catalog_consistency(
@@ -24,7 +23,7 @@ def catalog_consistency(
 ) -> DataFrame:
     """Fact rows whose value is off the catalog value by more than the tolerance."""
     gap = F.abs(as_col(fact_value) - as_col(catalog_value))
-    return fact.join(small_side(catalog), on).filter(gap > F.lit(tolerance))
+    return fact.join(catalog, on).filter(gap > F.lit(tolerance))
 
 
 def within_tolerance(measured, audited, relative: float = 0.05, absolute: float = 0.5) -> Column:

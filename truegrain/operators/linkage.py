@@ -348,14 +348,34 @@ def exact_duplicates(df: DataFrame, row_id: str, cols: list[str]) -> DataFrame:
     return others.groupBy("id_l", "rows").agg(F.min(row_id).alias("id_r")).select("id_l", "id_r", "rows")
 
 
-def pair_quality(scored: DataFrame, truth: DataFrame, thresholds) -> DataFrame:
-    """Found and true pairs per threshold; truth holds (id_l, id_r) of true row pairs."""
-    marked = scored.join(truth.select("id_l", "id_r").distinct().withColumn("_true", F.lit(1)), ["id_l", "id_r"], "left")
-    cells = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold")
-    return (
-        marked.select("probability", F.coalesce("_true", F.lit(0)).alias("t"), cells)
-        .filter(F.col("probability") >= F.col("threshold"))
-        .groupBy("threshold")
-        .agg(F.count(F.lit(1)).alias("found"), F.sum("t").alias("right"))
-        .withColumn("precision", F.col("right") / F.col("found"))
+def pair_quality(scored: DataFrame, truth: DataFrame, thresholds, members: DataFrame, row_id: str) -> DataFrame:
+    """Found and right row pairs per threshold, with precision and recall.
+
+    `scored` has pairs of profiles (id_l, id_r, probability), `members` the rows (profile_id, row) of
+    each profile and `truth` true row pairs (id_l, id_r) in either order. Rows of one profile are found at any
+    threshold. Found pairs are counted from the sizes of profiles, never built.
+    """
+    sizes = members.groupBy("profile_id").agg(F.count(F.lit(1)).alias("n"))
+    left = sizes.select(F.col("profile_id").alias("id_l"), F.col("n").alias("n_l"))
+    right = sizes.select(F.col("profile_id").alias("id_r"), F.col("n").alias("n_r"))
+    pairs = scored.select(F.least("id_l", "id_r").alias("id_l"), F.greatest("id_l", "id_r").alias("id_r"), "probability")
+    of_l = members.select(F.col(row_id).alias("id_l"), F.col("profile_id").alias("_pl"))
+    of_r = members.select(F.col(row_id).alias("id_r"), F.col("profile_id").alias("_pr"))
+    known = truth.select(F.least("id_l", "id_r").alias("id_l"), F.greatest("id_l", "id_r").alias("id_r")).filter("id_l < id_r").distinct()
+    placed = known.join(of_l, "id_l", "left").join(of_r, "id_r", "left").select(
+        F.least("_pl", "_pr").alias("id_l"), F.greatest("_pl", "_pr").alias("id_r"), (F.col("_pl") == F.col("_pr")).alias("_same")
     )
+    true_pairs = placed.filter(~F.coalesce("_same", F.lit(False))).groupBy("id_l", "id_r").agg(F.count(F.lit(1)).alias("t"))
+    inside = sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0)).cast("long")).scalar()
+    inside_true = placed.agg(F.count_if("_same")).scalar()
+    all_true = known.agg(F.count(F.lit(1))).scalar()
+    marked = pairs.join(left, "id_l").join(right, "id_r").join(true_pairs, ["id_l", "id_r"], "left")
+    counted = marked.select("probability", (F.col("n_l") * F.col("n_r")).alias("n"), F.coalesce("t", F.lit(0)).alias("t"))
+    steps = F.array(*[F.lit(float(t)) for t in thresholds])
+    above = counted.select("n", "t", F.explode(F.filter(steps, lambda t: F.col("probability") >= t)).alias("threshold"))
+    none = scored.sparkSession.range(1).select(F.lit(0).alias("n"), F.lit(0).alias("t"), F.explode(steps).alias("threshold"))
+    met = above.unionByName(none).groupBy("threshold").agg(F.sum("n").alias("_n"), F.sum("t").alias("_t"))
+    out = met.select("threshold", (F.col("_n") + inside).alias("found"), (F.col("_t") + inside_true).alias("right"), all_true.alias("_all"))
+    return out.withColumn("precision", F.col("right") / F.nullif(F.col("found"), F.lit(0))).withColumn(
+        "recall", F.col("right") / F.nullif(F.col("_all"), F.lit(0))
+    ).drop("_all")

@@ -14,14 +14,13 @@ from truegrain.operators.diff import to_cells
 from truegrain.operators.joins import lookup, map_values
 from truegrain.operators.match import agreeing_tuples, nearest
 from truegrain.operators.ranks import join_back
-from truegrain.session import small_side
 
 
 def star(fact: DataFrame, dimensions: list[tuple[DataFrame, str, str]]) -> DataFrame:
     """Denormalise a fact with its dimensions; each is broadcast only if its counted size allows."""
     out = fact
     for dim, fk, pk in dimensions:
-        out = out.join(small_side(dim), F.col(fk) == F.col(pk))
+        out = out.join(dim, F.col(fk) == F.col(pk))
     return out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from truegrain.operators.ranks import join_back
 from truegrain.operators.windows import duplicates_beyond_first
 from truegrain.plans.contract import FieldRule, TableContract
-from truegrain.session import materialize, small_side
+from truegrain.session import materialize
 
 FAILURE = "array<struct<column:string,check:string,value:string,kind:string>>"
 
@@ -99,7 +99,7 @@ def flag_rows(df: DataFrame, contract: TableContract, parents: dict[str, DataFra
         if parent is None or fk.column not in df.columns:
             continue
         known = parent.select(F.col(fk.parent_column).cast("string").alias("_pk")).distinct()
-        known = small_side(known).withColumn("_hit", F.lit(True))
+        known = known.withColumn("_hit", F.lit(True))
         out = out.join(known, F.col(fk.column).cast("string") == F.col("_pk"), "left")
         failure = F.array_compact(F.array(_failure(
             F.col(fk.column).isNotNull() & F.col("_hit").isNull(), fk.column, f"exists in {fk.parent}", F.col(fk.column), "constraint"
@@ -152,7 +152,8 @@ def ddl_load(
     """Row-by-row load into a table with constraints: `error` and `reason` are NULL where accepted.
 
     Keys must be new to the table and to earlier rows of the batch that are otherwise fine.
-    Conversions come first, then NOT NULL and CHECK, references, and keys in declared order.
+    Conversions come first, then NOT NULL and CHECK, references, and keys; a refused row takes no key,
+    and the reason names the first declared key that is taken.
     """
     bare = TableContract(contract.name, contract.fields, (), contract.foreign_keys, contract.row_checks)
     bare = TableContract(
@@ -173,20 +174,63 @@ def ddl_load(
         F.col("_first.kind").alias("error"),
         F.concat_ws(" ", F.col("_first.column"), F.col("_first.check")).alias("_r"),
     ).withColumn("reason", F.when(F.col("error").isNotNull(), F.col("_r"))).drop("_r")
-    for key in contract.keys:
-        names = list(key)
-        text = [F.col(k).cast("string").alias(f"_t{i}") for i, k in enumerate(names)]
-        taken = existing.select(*text).distinct().withColumn("_taken", F.lit(True))
-        marked = out.select("*", *text).join(taken, [f"_t{i}" for i in range(len(names))], "left")
-        free = marked.filter(F.col("error").isNull() & F.col("_taken").isNull())
-        later = duplicates_beyond_first(free, names, order).select(*order).withColumn("_later", F.lit(True))
-        hit = F.col("error").isNull() & (F.col("_taken").isNotNull() | F.col("_later").isNotNull())
-        out = (
-            marked.join(later, order, "left")
-            .withColumn("reason", F.when(hit, F.lit(f"{','.join(names)} duplicate key")).otherwise(F.col("reason")))
-            .withColumn("error", F.when(hit, F.lit("constraint")).otherwise(F.col("error")))
-            .select(*batch.columns, "error", "reason")
-        )
+    return _load_keys(out, existing, [list(k) for k in contract.keys], batch.columns, order)
+
+
+def _load_keys(out: DataFrame, existing: DataFrame, keys: list[list[str]], columns: list[str], order: list[str]) -> DataFrame:
+    """Refuse rows whose key is taken by the table or by an earlier accepted row; a NULL in a key takes nothing.
+
+    In each round an undecided row is accepted if it is the first undecided one of each of its keys,
+    and refused if an accepted row holds one of them. The first undecided row is always decided, and
+    a refused row frees its other keys, as in a load row by row.
+    """
+    if not keys:
+        return out
+    spots = F.array_compact(F.array(*[
+        F.when(_all_present(k), F.struct(F.lit(i).alias("i"), F.to_json(F.array(*[F.col(c).cast("string") for c in k])).alias("v")))
+        for i, k in enumerate(keys)
+    ]))
+
+    def exploded(df: DataFrame, *kept: str) -> DataFrame:
+        return df.withColumn("_k", F.explode(spots)).select(*kept, F.col("_k.i").alias("_i"), F.col("_k.v").alias("_v"))
+
+    place = F.struct(*order).alias("_o")
+    held = [
+        existing.filter(_all_present(k)).select(F.lit(i).alias("_i"), F.to_json(F.array(*[F.col(c).cast("string") for c in k])).alias("_v"))
+        for i, k in enumerate(keys) if all(c in existing.columns for c in k)
+    ]
+    in_table = None
+    for h in held:
+        in_table = h if in_table is None else in_table.unionByName(h)
+    rows = materialize(exploded(out.filter("error IS NULL").select("*", place), "_o"), "load-keys")
+    refused_at = rows.limit(0)
+    if in_table is not None:
+        refused_at = materialize(rows.join(in_table.distinct(), ["_i", "_v"], "left_semi"), "load-taken")
+    open_rows = materialize(rows.join(refused_at.select("_o").distinct(), "_o", "left_anti"), "load-open")
+    accepted = rows.limit(0)
+    while not open_rows.isEmpty():
+        firsts = open_rows.groupBy("_i", "_v").agg(F.min("_o").alias("_first"))
+        later = open_rows.join(firsts, ["_i", "_v"]).filter(F.col("_o") != F.col("_first")).select("_o").distinct()
+        won = materialize(open_rows.join(later, "_o", "left_anti"), "load-won")
+        accepted = accepted.unionByName(won)
+        lost = open_rows.join(won.select("_i", "_v"), ["_i", "_v"], "left_semi").select("_o").distinct()
+        open_rows = materialize(open_rows.join(lost, "_o", "left_anti"), "load-open")
+    winners = accepted.select(F.col("_i"), F.col("_v"), F.col("_o").alias("_by"))
+    clashes = rows.join(winners, ["_i", "_v"]).filter(F.col("_by") < F.col("_o")).select("_o", "_i")
+    first = refused_at.select("_o", "_i").unionByName(clashes).groupBy("_o").agg(F.min("_i").alias("_i"))
+    names = F.element_at(F.array(*[F.lit(f"{','.join(k)} duplicate key") for k in keys]), F.col("_i") + 1)
+    hit = F.col("_i").isNotNull()
+    return out.withColumn("_o", F.struct(*order)).join(first, "_o", "left").select(
+        *columns,
+        F.when(hit, F.lit("constraint")).otherwise(F.col("error")).alias("error"),
+        F.when(hit, names).otherwise(F.col("reason")).alias("reason"),
+    )
+
+
+def _all_present(names: list[str]) -> Column:
+    out = F.col(names[0]).isNotNull()
+    for c in names[1:]:
+        out = out & F.col(c).isNotNull()
     return out
 
 

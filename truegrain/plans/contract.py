@@ -173,12 +173,11 @@ def learn(df: DataFrame, name: str = "learned", max_categories: int = 20) -> Tab
             aggs += [F.min(f.name).alias(f"min|{f.name}"), F.max(f.name).alias(f"max|{f.name}")]
         elif isinstance(f.dataType, T.StringType):
             text.append(f.name)
-            aggs.append(F.approx_count_distinct(f.name).alias(f"distinct|{f.name}"))
     stats = df.agg(*aggs).first().asDict()
     fields = []
     for f in df.schema.fields:
         allowed = None
-        if f.name in text and stats[f"distinct|{f.name}"] <= 2 * max_categories:
+        if f.name in text:
             values = [
                 r[0]
                 for r in df.select(f.name).filter(F.col(f.name).isNotNull()).distinct()

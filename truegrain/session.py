@@ -18,8 +18,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-BROADCAST_ROWS = 200_000
-
 _scratch: list[str] = []
 
 
@@ -83,12 +81,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting: beyond `limit` rows the join stays a shuffle join."""
-    from pyspark.sql import functions as F
-
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
