@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from truegrain.llm.tokens import tokenizer_path, word_ids
+from truegrain.llm.tokens import byte_pairs, tokenizer_path
 
 #: Tokens packed together, which bounds a task's memory; about a thousand windows of 4096.
 BLOCK_TOKENS = 1 << 22
+#: The vocabulary, and the id behind its last that ends a document and fills a window.
+VOCABULARY, END = "byte_bpe_50k.tiktoken", 50256
 
 
 class CapacityTree:
@@ -61,7 +63,7 @@ def best_fit_decreasing(sizes: list[int], window: int) -> list[list[int]]:
     return windows
 
 
-def packed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, window: int = 4096, end: int = 49407, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def packed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, window: int = 4096, end: int = END, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row a packed window: (shard, row, doc_ids, starts, cu_seqlens, resets, ids, used).
 
     `ids` are the window's ids, little-endian unsigned 32 bit, padded with `end`; piece i has ids
@@ -72,14 +74,16 @@ def packed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     """
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("row", T.IntegerType()), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("cu_seqlens", T.ArrayType(T.IntegerType())), T.StructField("resets", T.ArrayType(T.IntegerType())), T.StructField("ids", T.BinaryType()), T.StructField("used", T.IntegerType())])
-    path = path or tokenizer_path()
+    path = path or tokenizer_path(VOCABULARY)
 
     def pack(batches):
+        from array import array
+
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        ids_of, last, shard, row = word_ids(path), np.array([end], dtype="<u4").tobytes(), TaskContext.get().partitionId(), 0
+        encode, last, shard, row = byte_pairs(path).encode_ordinary, np.array([end], dtype="<u4").tobytes(), TaskContext.get().partitionId(), 0
         pieces: list[tuple] = []
         held, of_batch = 0, None
 
@@ -102,7 +106,7 @@ def packed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
         for batch in batches:
             of_batch = batch.column(0).type
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of.ids(value.as_py()) + last
+                ids = array("I", encode(value.as_py() or "")).tobytes() + last
                 for start in range(0, len(ids) // 4, window):
                     pieces.append((name, start, ids[4 * start : 4 * (start + window)]))
                     held += len(pieces[-1][2]) // 4

@@ -74,6 +74,21 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split(" ")))
 
 
+def byte_pairs(path: str):
+    """A byte-level tokenizer from a file of ranks; it keeps every byte, and no text is special to it."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    caches = vars(tiktoken).setdefault("_byte_pairs", {})
+    if path not in caches:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        caches[path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return caches[path]
+
+
 def latin(text: str) -> bool:
     """Whether all characters are Latin-1; such text is in normal form C, and lower-casing goes letter by letter."""
     try:
