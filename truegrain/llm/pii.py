@@ -11,18 +11,23 @@ from truegrain.llm.common import bitmap, in_bitmap
 from truegrain.session import materialize
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-#: In order of precedence: of two overlapping finds the one that begins first stays, then the longer, then the earlier here.
-PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+#: Kinds that consist of digits and their separators; tried in this order where such a stretch begins.
+NUMBERS = {
     "ip": re.compile(rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)"),
-    "iban": re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     "phone": re.compile(r"(?<![\w.])(?:\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])"),
-    "secret": re.compile(r"\b(?:AKIA[0-9A-Z]{16})\b|(?<=[=:\"' ])(?<!\w)(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{16,64}\b"),
 }
-#: What a text must hold for a pattern to be tried.
-HINTS = {"email": re.compile("@")}
+STRETCH = re.compile(r"[+(0-9][0-9 ().+-]{6,}")
+#: Kinds with letters. They begin with a set of characters, so a search passes over the rest of a text quickly.
+EMAIL = re.compile(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+IBAN = re.compile(r"[A-Z](?<!\w.)[A-Z]\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
+HEX = re.compile(r"[=:\"' ]([0-9a-fA-F]{16,64})\b")
+AWS = re.compile(r"AKIA[0-9A-Z]{16}\b")
+DIGIT = re.compile(r"[0-9]")
+#: Two words with capitals in a row, without which there is no name to look for.
+CAPITALS = re.compile(r"[A-ZÀ-ÞА-ЯЁ][\w'-]*\.? [A-ZÀ-ÞА-ЯЁ]")
 TITLES = {
     "m": ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин"),
     "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"),
@@ -48,10 +53,24 @@ def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, in order, without overlap. Names are given_m, given_f and surname;
     a surname found once is found again where it stands alone, so that all mentions change alike."""
     found = []
-    for order, (kind, pattern) in enumerate(PATTERNS.items()):
-        if kind in HINTS and not HINTS[kind].search(text):
-            continue
-        found += [(m.start(), -m.end(), order, kind) for m in pattern.finditer(text)]
+    if "@" in text:
+        for m in EMAIL.finditer(text):
+            local = LOCAL.search(text, max(0, m.start() - 64), m.start())
+            if local:
+                found.append((local.start(), -m.end(), 0, "email"))
+    if DIGIT.search(text):
+        for stretch in STRETCH.finditer(text):
+            for at in range(stretch.start(), stretch.end()):
+                if text[at] in "+(0123456789" and (at == stretch.start() or not text[at - 1].isdigit()):
+                    for order, (kind, pattern) in enumerate(NUMBERS.items(), 1):
+                        m = pattern.match(text, at)
+                        if m:
+                            found.append((at, -m.end(), order, kind))
+        found += [(m.start(), -m.end(), 10, "iban") for m in IBAN.finditer(text)]
+        found += [(m.start(1), -m.end(), 11, "secret") for m in HEX.finditer(text) if not m[1].isdigit() and not m[1].isalpha()]
+        found += [(m.start(), -m.end(), 9, "secret") for m in AWS.finditer(text)]
+    if not CAPITALS.search(text):
+        return _apart(found)
     surnames = set()
     for m in TITLED.finditer(text):
         gender = "m" if m[1] in TITLES["m"] else "f"
@@ -65,6 +84,11 @@ def find(text: str) -> list[tuple[int, int, str]]:
         surnames.add(m[2])
     if surnames:
         found += [(m.start(), -m.end(), 52, "surname") for m in re.finditer(r"\b(?:" + "|".join(map(re.escape, sorted(surnames))) + r")\b", text)]
+    return _apart(found)
+
+
+def _apart(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
+    """Of overlapping finds (start, -end, order, kind) the one that begins first, then the longer, then the lower order."""
     out, at = [], 0
     for start, end, _, kind in sorted(found):
         if start >= at:
