@@ -166,21 +166,21 @@ def inj_09_log(spark, d):
 
 @query(
     "inj_10_segments",
-    CTES + """SELECT store_id, count(*) AS rows, count(*) FILTER (price = 7.99) AS stale FROM (
-      SELECT date, store_id, CASE WHEN product_id = 136 AND store_id IN (7, 8) AND date >= DATE '1998-01-01' AND NOT promo THEN 7.99 ELSE unit_price END AS price FROM sales WHERE NOT (store_id = 6 AND date BETWEEN DATE '1998-02-10' AND DATE '1998-02-12')
-      UNION ALL SELECT date, store_id, unit_price FROM sales WHERE store_id = 3 AND date = DATE '1998-05-05') GROUP BY 1""",
+    CTES + """SELECT store_id, count(*) AS rows, count(*) FILTER (price = 2.49) AS stale FROM (
+      SELECT date, store_id, CASE WHEN product_id % 40 = 11 AND store_id IN (2, 5) AND date >= DATE '1996-07-01' AND NOT promo THEN 2.49 ELSE unit_price END AS price FROM sales WHERE NOT (store_id = 4 AND date BETWEEN DATE '1997-09-20' AND DATE '1997-09-25')
+      UNION ALL SELECT date, store_id, unit_price FROM sales WHERE store_id = 1 AND date = DATE '1996-11-21') GROUP BY 1""",
 )
 def inj_10(spark, d):
     """Stale prices for a segment, missing store-days, one day uploaded twice."""
     rows = Retail(spark, d)["sales"]
     day = F.col("date")
-    stale = lambda: (F.col("product_id") == 136) & F.col("store_id").isin(7, 8) & (day >= F.lit("1998-01-01").cast("date")) & ~F.col("promo")
+    stale = lambda: (F.col("product_id") % 40 == 11) & F.col("store_id").isin(2, 5) & (day >= F.lit("1996-07-01").cast("date")) & ~F.col("promo")
     row_id = F.concat_ws("|", F.col("date").cast("string"), "store_id", "product_id")
-    priced, _ = I.inject(rows, "sales", row_id, [I.Injector("unit_price", "inconsistent_value", I.fixed(7.99), rows=stale)], ["date", "store_id", "product_id"])
-    gap = (F.col("store_id") == 6) & day.between(F.lit("1998-02-10").cast("date"), F.lit("1998-02-12").cast("date"))
+    priced, _ = I.inject(rows, "sales", row_id, [I.Injector("unit_price", "inconsistent_value", I.fixed(2.49), rows=stale)], ["date", "store_id", "product_id"])
+    gap = (F.col("store_id") == 4) & day.between(F.lit("1997-09-20").cast("date"), F.lit("1997-09-25").cast("date"))
     kept, _ = I.drop_rows(priced, "sales", row_id, gap)
-    twice, _ = I.double_upload(kept, "sales", row_id, (F.col("store_id") == 3) & (day == F.lit("1998-05-05").cast("date")))
-    return twice.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("unit_price") == 7.99).alias("stale"))
+    twice, _ = I.double_upload(kept, "sales", row_id, (F.col("store_id") == 1) & (day == F.lit("1996-11-21").cast("date")))
+    return twice.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("unit_price") == 2.49).alias("stale"))
 
 
 @query(
