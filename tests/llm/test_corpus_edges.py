@@ -163,6 +163,14 @@ def test_surrogates_keep_form_and_are_keyed():
     assert rewrite(b"k", text, {})[0] == new != rewrite(b"other", text, {})[0]
 
 
+def test_many_surnames_in_a_long_text_are_found_in_one_pass():
+    names = [f"Q{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}x" for i in range(4000)]
+    text = " ".join(f"Frau {n} und {n}-Weber, {n}s" for n in names)
+    found = [text[s:e] for s, e, k in find(text) if k == "surname"]
+    assert found == [n for n in names for _ in range(2)]
+    assert [k for _, _, k in find("Mr O'Neil met O'Neil, not O'Neils")] == ["surname", "surname"]
+
+
 def test_colliding_surrogates_draw_again(documents, monkeypatch):
 
     docs = documents([(i, f"Herr Ohm und Frau {n} Volt") for i, n in enumerate("Anna Emma Julia Karen Laura Linda Marta Mary Sabine Sarah Sophie Susan Camille Carmen Claire".split())])

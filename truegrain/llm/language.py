@@ -170,7 +170,7 @@ def learn_language(rows: DataFrame, key: str = "doc_id", text: str = "text", lab
                     at = np.flatnonzero(counts)
                     names.append(name)
                     folds.append(part)
-                    terms.append((at.astype("<u2").tobytes(), np.minimum(counts[at], 65535).astype("<u2").tobytes()))
+                    terms.append((at.astype("<u2").tobytes(), counts[at].astype("<i8").tobytes()))
             columns = [pa.array(names, pa.string()), pa.array(folds, pa.int64()), pa.array([t[0] for t in terms], pa.binary()), pa.array([t[1] for t in terms], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "fold", "at", "n"])
 
@@ -183,7 +183,7 @@ def learn_language(rows: DataFrame, key: str = "doc_id", text: str = "text", lab
 
     def vector(r):
         counts = np.zeros(1 << BITS, dtype=np.int64)
-        counts[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<u2")
+        counts[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<i8")
         return tf_idf(counts, idf)
 
     sample.sort(key=lambda r: (r["lang"], r["at"], r["n"]))

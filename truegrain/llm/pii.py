@@ -26,6 +26,7 @@ IBAN = re.compile(r"[A-Z](?<!\w.)[A-Z]\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1
 HEX = re.compile(r"[=:\"' ]([0-9a-fA-F]{16,64})\b")
 AWS = re.compile(r"AKIA[0-9A-Z]{16}\b")
 DIGIT = re.compile(r"[0-9]")
+RUN = re.compile(r"\w+")
 #: Two words with capitals in a row, without which there is no name to look for.
 CAPITALS = re.compile(r"[A-ZÀ-ÞА-ЯЁ][\w'-]*\.? [A-ZÀ-ÞА-ЯЁ]")
 TITLES = {
@@ -83,7 +84,15 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(m.start(1), -m.end(1), 51, f"given_{GENDER[m[1]]}"), (m.start(2), -m.end(2), 51, "surname")]
         surnames.add(m[2])
     if surnames:
-        found += [(m.start(), -m.end(), 52, "surname") for m in re.finditer(r"\b(?:" + "|".join(map(re.escape, sorted(surnames))) + r")\b", text)]
+        # by their first run of word characters, so that a text with many names is still read once
+        by_head: dict[str, list[str]] = {}
+        for name in surnames:
+            by_head.setdefault(RUN.match(name)[0], []).append(name)
+        for m in RUN.finditer(text):
+            for name in by_head.get(m[0], ()):
+                end = m.start() + len(name)
+                if text.startswith(name, m.start()) and not RUN.match(text, end):
+                    found.append((m.start(), -end, 52, "surname"))
     return _apart(found)
 
 
