@@ -32,9 +32,7 @@ def rep_02(spark, d):
 @query("rep_03_fuzzy_repair")
 def rep_03(spark, d):
     t = Retail(spark, d)
-    catalog = t["catalog"].groupBy("name").agg(F.min("id").alias("id"))
-    rows = t["deliveries"].join(catalog.select(F.col("name").alias("product_name_clean"), F.col("id").alias("cid")), F.col("product_id") == F.col("cid"), "left_semi")
-    return R.repair_fuzzy(rows, "delivery_id", "product_name", "product_id", catalog, "name", "id").withColumn(
+    return R.repair_fuzzy(t["deliveries"], "delivery_id", "product_name", "product_id", t["catalog"], "name", "id").withColumn(
         "similarity", F.round("similarity", 6)
     )
 

@@ -85,24 +85,23 @@ def _metrics():
 
 def _windows(spark, d, **options):
     out = E.windowed_metrics(event_stream(spark, d), "ts", _metrics(), **options)
-    back = E.read_back(spark, E.run_to_files(out, "windows"), out.schema)
+    back = E.run_latest(out, "windows", ["window_start", "window_end"])
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return back.select(stamp("window_start"), stamp("window_end"), *[c for c in back.columns if not c.startswith("window_")])
 
 
-CLOSED = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 STAMPS = "strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end"
 
 
 @query(
     "str_04_windowed_metrics",
     f"""WITH w AS (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, user_id % 8 AS store, count(*) AS n, round(avg(value), 6) AS mean, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1, 2, 3)
-    SELECT {STAMPS}, store, n, mean, errors FROM w WHERE {CLOSED}""",
+    SELECT {STAMPS}, store, n, mean, errors FROM w""",
 )
 def str_04(spark, d):
     stream = event_stream(spark, d).withColumn("store", F.col("user_id") % 8)
     out = E.windowed_metrics(stream, "ts", _metrics(), keys=["store"])
-    back = E.read_back(spark, E.run_to_files(out, "windows"), out.schema)
+    back = E.run_latest(out, "windows", ["window_start", "window_end", "store"])
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return back.select(stamp("window_start"), stamp("window_end"), "store", "n", "mean", "errors")
 
@@ -112,7 +111,7 @@ def str_04(spark, d):
     f"""WITH h AS (SELECT ts, value, event_type, date_trunc('day', ts) + to_hours((12 * floor(hour(ts) / 12))::BIGINT) AS half FROM events),
     w AS (SELECT half - to_hours((12 * s)::BIGINT) AS window_start, value, event_type FROM h CROSS JOIN range(0, 2) t(s)),
     g AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS n, round(avg(value), 6) AS mean, count(*) FILTER (event_type = 'error') AS errors FROM w GROUP BY 1)
-    SELECT {STAMPS}, n, mean, errors FROM g WHERE {CLOSED}""",
+    SELECT {STAMPS}, n, mean, errors FROM g""",
 )
 def str_04_sliding(spark, d):
     return _windows(spark, d, width="1 day", slide="12 hours")
@@ -122,11 +121,11 @@ def str_04_sliding(spark, d):
     "str_04_session_windows",
     """WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
     s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g), w AS (SELECT user_id, sid, count(*) AS n, max(ts) + INTERVAL 2 HOUR AS e FROM s GROUP BY 1, 2)
-    SELECT user_id, n, count(*) AS sessions FROM w WHERE e <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""",
+    SELECT user_id, n, count(*) AS sessions FROM w GROUP BY 1, 2""",
 )
 def str_04_session(spark, d):
     out = E.windowed_metrics(event_stream(spark, d), "ts", {"n": F.count(F.lit(1))}, keys=["user_id"], width="2 hours", session=True)
-    back = E.read_back(spark, E.run_to_files(out, "sessions"), out.schema)
+    back = E.run_latest(out, "sessions", ["user_id", "window_start", "window_end"], mode="complete")
     return back.groupBy("user_id", "n").agg(F.count(F.lit(1)).alias("sessions"))
 
 
@@ -171,12 +170,12 @@ LIMITS = [{"metric": "mean", "min": 9.5, "max": 10.5, "owner": "data"}, {"metric
 @query(
     "str_07_alert_stream",
     """WITH w AS (SELECT date_trunc('day', ts) AS window_start, round(avg(value), 6) AS mean, (count(*) FILTER (event_type = 'error'))::DOUBLE AS errors FROM events GROUP BY 1),
-    c AS (SELECT * FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR)
+    c AS (SELECT * FROM w)
     SELECT strftime(window_start, '%Y-%m-%d') AS day, 'mean' AS metric, mean AS value, 'data' AS owner FROM c WHERE mean < 9.5 OR mean > 10.5
     UNION ALL SELECT strftime(window_start, '%Y-%m-%d'), 'errors', errors, 'platform' FROM c WHERE errors > 60""",
 )
 def str_07(spark, d):
     metrics = E.windowed_metrics(event_stream(spark, d), "ts", _metrics())
-    alerts = E.alert_stream(metrics, "window_start", ["mean", "errors"], LIMITS)
-    back = E.read_back(spark, E.run_to_files(alerts, "alerts", fmt="json"), alerts.schema, "json")
-    return back.select(F.date_format("week", "yyyy-MM-dd").alias("day"), "metric", "value", "owner")
+    latest = E.run_latest(metrics, "alerts", ["window_start"])
+    alerts = E.alert_stream(latest, "window_start", ["mean", "errors"], LIMITS)
+    return alerts.select(F.date_format("week", "yyyy-MM-dd").alias("day"), "metric", "value", "owner")

@@ -183,3 +183,15 @@ def test_measurement_error_is_reproducible(spark):
     assert a.agg(F.sum("both")).first()[0] == pytest.approx(b.agg(F.sum("both")).first()[0])
     stats = a.agg(F.avg("imprecise"), F.stddev("imprecise"), F.avg("inaccurate")).first()
     assert stats[0] == pytest.approx(10, abs=0.2) and stats[1] == pytest.approx(3, abs=0.2) and stats[2] == pytest.approx(8)
+
+
+def test_latest_windows_over_several_batches(spark, tmp_path):
+    """Windows that later micro-batches add to, and those still open at the end, have their last value once."""
+    day = dt.datetime(2024, 1, 1)
+    for part in range(3):
+        rows = [(day + dt.timedelta(hours=6 * i + part), 1.0 + part) for i in range(8)]
+        spark.createDataFrame(rows, "ts timestamp, value double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, value double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = E.windowed_metrics(stream, "ts", {"n": F.count(F.lit(1)), "total": F.sum("value")}, delay="10 days")
+    got = E.run_latest(out, "latest", ["window_start"], folder=str(tmp_path / "out")).orderBy("window_start").collect()
+    assert [(r.n, r.total) for r in got] == [(12, 24.0), (12, 24.0)]

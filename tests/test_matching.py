@@ -190,3 +190,10 @@ def test_missing_cells_of_any_grid(spark):
     df = spark.createDataFrame(sorted(cells, key=str), "k string, day int")
     got = {(r.k, r.day) for r in missing_cells(df, "day", "k").collect()}
     assert got == {(k, d) for k in "abcd" for d in (1, 3, 5)} - cells
+
+
+def test_fuzzy_repair_where_items_share_a_name(spark):
+    catalog = spark.createDataFrame([(1, "green apple"), (2, "green apple"), (3, "plum")], "id bigint, name string")
+    rows = spark.createDataFrame([("a", 2, "green aple"), ("b", 2, "green apple"), ("c", 3, "green apple")], "row string, item bigint, name string")
+    out = {r.row_id: (r.decision, r.best_id) for r in R.repair_fuzzy(rows, "row", "name", "item", catalog, "name", "id").collect()}
+    assert out == {"a": ("auto", 1), "c": ("review", 1)}

@@ -99,3 +99,11 @@ def test_hash_samples_do_not_depend_on_partitions(spark):
     one = {r.id for r in sampling.sample_fraction(ids.coalesce(1), 0.1, "id", seed=2).collect()}
     many = {r.id for r in sampling.sample_fraction(ids.repartition(7), 0.1, "id", seed=2).collect()}
     assert one == many and 1700 < len(one) < 2300
+
+
+@pytest.mark.parametrize("ids", ["row", "text"])
+def test_running_over_text_ids_in_both_forms(spark, ids):
+    name = (lambda i: f"row-{i * 7919 % 500:03d}") if ids == "row" else (lambda i: chr(97 + i % 26) + "é" * (i % 3) + str(i))
+    df = spark.createDataFrame([("hot" if i % 3 else "b", name(i), i) for i in range(500)], "key string, id string, n int")
+    plain = {tuple(r) for r in R.running(df, ["key"], "id", {"upto": ("sum", "n")}, totals=True, spread=False).collect()}
+    assert {tuple(r) for r in R.running(df, ["key"], "id", {"upto": ("sum", "n")}, totals=True, spread=True, buckets=7).collect()} == plain

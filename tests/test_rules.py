@@ -106,3 +106,12 @@ def test_denial_constraint_in_both_forms(spark):
         for s in (False, True)
     ]
     assert forms[0] == forms[1]
+
+
+def test_examples_of_missing_parents_and_repeated_keys(spark):
+    from truegrain.plans.expectations import in_table, unexpected_examples, unique
+
+    df = spark.createDataFrame([(1, 7), (1, 8), (2, None), (3, 9)], "id int, parent int")
+    parents = spark.createDataFrame([(7,)], "key int")
+    out = {r.expectation: r.examples for r in unexpected_examples(df, [in_table("parent", parents, "key"), unique("id")]).collect()}
+    assert out == {"in table": ["8", "9"], "unique": ["1"]}

@@ -76,7 +76,9 @@ def nearest(
     """
     tidy = normalize or (lambda c: as_col(c))
     values = df.select(F.col(value)).filter(F.col(value).isNotNull()).distinct().withColumn("_value", tidy(value))
-    catalog = names.select(F.col(name).alias("_name"), F.col(name_id).alias("_id")).withColumn("_key", tidy("_name"))
+    named = names.select(F.col(name).alias("_name"), F.col(name_id).alias("_id")).withColumn("_key", tidy("_name"))
+    # of items that share a name only the lowest id can be the answer
+    catalog = named.groupBy("_key").agg(F.min_by("_name", "_id").alias("_name"), F.min("_id").alias("_id"))
     pairs = candidates(values.select("_value").distinct(), "_value", catalog.select("_key").distinct(), "_key", cutoff)
     scored = pairs.withColumn("_score", scorer(F.col("_value"), F.col("_key"))).filter(F.col("_score") >= cutoff)
     best = (

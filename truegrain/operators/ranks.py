@@ -37,10 +37,17 @@ def heavy(df: DataFrame, keys: list[str], limit: int = TASK_ROWS) -> bool:
 
 
 def with_bucket(df: DataFrame, order: str, buckets: int = BUCKETS) -> DataFrame:
-    """Bucket number by approximate quantiles; only the cut points visit the driver."""
+    """Bucket number, which never falls as `order` rises. Only cut points visit the driver.
+
+    Numbers and times are cut at approximate quantiles. Text is range-partitioned by Spark, whose
+    partitions are the buckets; callers write the frame before they use it twice.
+    """
+    kind = df.schema[order].dataType.typeName()
+    if kind in ("string", "binary", "boolean"):
+        return df.repartitionByRange(buckets, order).withColumn("_bucket", F.spark_partition_id())
     points = [i / buckets for i in range(1, buckets)]
     number = F.col(order)
-    if df.schema[order].dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+    if kind in ("date", "timestamp", "timestamp_ntz"):
         number = F.unix_micros(number.cast("timestamp"))
     value = number.cast("double")
     found = df.agg(F.percentile_approx(value, points, F.lit(20 * buckets))).first()[0] or []
@@ -79,7 +86,7 @@ def running(
             if totals:
                 out.append(_COMBINE[kind](col).over(whole).alias(f"total_{name}"))
         return df.select(*out)
-    rows = with_bucket(materialize(df, "running"), order, buckets)
+    rows = materialize(with_bucket(materialize(df, "running"), order, buckets), "bucketed")
     per_bucket = rows.groupBy(*keys, "_bucket").agg(
         *[_COMBINE[kind](col).alias(f"_part_{name}") for name, (kind, col) in aggs.items()]
     )

@@ -59,14 +59,15 @@ def repair_fuzzy(
 ) -> DataFrame:
     """Suspects are rows whose name is not that of their id. `decision` is auto or review.
 
-    Automatic only where the nearest name is the one of the row's own id at `accept` or better.
+    Automatic only where the nearest name is the one of the row's own id at `accept` or better;
+    items may share a name, of which `best_id` is the lowest.
     Reviews carry the nearest name at `suggest` or better, if there is one.
     """
     own = catalog.select(F.col(catalog_id).alias("_own"), F.col(catalog_name).alias("_own_name"))
     suspects = df.join(own, F.col(item_id) == F.col("_own"), "left").filter(~F.col(name).eqNullSafe(F.col("_own_name")))
     best = nearest(suspects, name, catalog, catalog_name, catalog_id, suggest)
     joined = suspects.join(best, name, "left")
-    auto = (F.col("best_id") == F.col(item_id)) & (F.col("similarity") >= accept)
+    auto = (F.col("best_name") == F.col("_own_name")) & (F.col("similarity") >= accept)
     return joined.select(
         F.col(row_id).cast("string").alias("row_id"),
         F.lit(name).alias("column"),

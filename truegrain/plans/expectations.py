@@ -161,6 +161,9 @@ def unexpected_examples(df: DataFrame, suite: list[Expectation], n: int = 3) ->
                     F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("example"),
                 )
             )
+        elif e.kind == "in table":
+            missing = unexpected_rows(df, e).select(F.col(e.column).cast("string").alias("example"))
+            parts.append(missing.select(F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column_name"), "example"))
     keys = ["expectation", "column_name"]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("example"))
     return (

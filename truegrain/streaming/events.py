@@ -63,8 +63,11 @@ def windowed_metrics(
     stream: DataFrame, event_time: str, metrics: dict[str, Column], keys: list[str] | None = None,
     width: str = "1 day", slide: str | None = None, delay: str = "1 hour", session: bool = False,
 ) -> DataFrame:
-    """Quality metrics per tumbling, sliding or session window. In append mode a window appears
-    once the watermark has passed its end."""
+    """Quality metrics per tumbling, sliding or session window.
+
+    In append mode a window appears once the watermark has passed its end; `run_latest` also gives
+    the windows that are still open when a bounded source ends.
+    """
     frame = F.session_window(event_time, width) if session else F.window(event_time, width, slide)
     out = stream.withWatermark(event_time, delay).groupBy(frame.alias("w"), *(keys or [])).agg(
         *[c.alias(n) for n, c in metrics.items()]
@@ -135,6 +138,26 @@ def run_to_files(stream: DataFrame, name: str, partition: str | None = None, fmt
     return f"{folder}/data"
 
 
+def run_latest(stream: DataFrame, name: str, keys: list[str], mode: str = "update", folder: str | None = None) -> DataFrame:
+    """Drain what is available and return the last result of each group, open windows included.
+
+    Each micro-batch is written under its id, so a repeated batch replaces itself; a group's row of
+    the latest batch counts. Session windows need mode "complete".
+    """
+    spark = stream.sparkSession
+    folder = folder or scratch_path(spark, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
+
+    stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    rows = read_back(spark, f"{folder}/data", T.StructType([*stream.schema, T.StructField("_batch", T.LongType())]))
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "_batch").alias("_row"))
+    return last.select("_row.*")
+
+
 def run_routed(stream: DataFrame, name: str, routes: dict[str, Column], folder: str | None = None) -> dict[str, str]:
     """Send each row of a micro-batch to the first route it fits, in one pass over the batch.
 
