@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 from queries import query
 from queries.predicates import events
 from queries.retail import CTES, Retail
+from queries.rules import error_log
 from truegrain.operators import dependencies as D
 from truegrain.operators import detect as M
+from truegrain.operators.diff import union_all
+from truegrain.session import materialize
 
 LOG = "sign(quantity) * ln(1 + abs(quantity))"
 TYPICAL = f", base AS (SELECT *, {LOG} AS lq FROM deliveries), typical AS (SELECT store_id, product_id, median(lq) AS typical FROM base GROUP BY 1, 2)"
@@ -48,7 +51,7 @@ def ml_03(spark, d):
 @query("ml_04_isolation_forest")
 def ml_04(spark, d):
     rows = M.context_features(Retail(spark, d)["deliveries"], ["store_id", "product_id"], "quantity")
-    out = M.isolation_forest(rows.select("delivery_id", "log_value", "deviation"), "delivery_id", ["log_value", "deviation"], trees=50)
+    out = M.isolation_forest(rows.select("delivery_id", "log_value", "deviation"), "delivery_id", ["log_value", "deviation"])
     return out.select("delivery_id", F.round("isolation", 6).alias("isolation"))
 
 
@@ -85,3 +88,33 @@ def ml_11(spark, d):
     )
     out = M.compare_detectors(scores, "detector", "score", "id", F.col("truth"))
     return out.select("detector", "k", "hits", F.round("average_precision", 9).alias("average_precision"))
+
+
+RAW, CONTEXT = ["quantity", "product", "weekday"], ["log_value", "deviation"]
+
+
+@query("ml_11_detectors_on_deliveries")
+def ml_11_deliveries(spark, d):
+    """Robust z, isolation forest, ECOD and LOF against the log of injected errors, on raw and on contextual features."""
+    t = Retail(spark, d).stored("deliveries")
+    log = error_log(t).filter("table_name = 'deliveries'").select("row_id").distinct().withColumn("truth", F.lit(True))
+    rows = M.context_features(t["deliveries"], ["store_id", "product_id"], "quantity").select(
+        "delivery_id", "quantity", F.col("product_id").cast("double").alias("product"),
+        F.dayofweek("delivery_date").cast("double").alias("weekday"), *CONTEXT,
+    )
+    rows = rows.join(log, F.col("delivery_id").cast("string") == F.col("row_id"), "left").drop("row_id")
+    rows = materialize(rows.withColumn("truth", F.coalesce("truth", F.lit(False))), "features")
+    truth = rows.select("delivery_id", "truth")
+    scored = {
+        "robust z, raw": M.robust_z(rows, [], "quantity").withColumnRenamed("robust_z", "score"),
+        "robust z, contextual": M.robust_z(rows, [], "deviation").withColumnRenamed("robust_z", "score"),
+        "forest, raw": M.isolation_forest(rows, "delivery_id", RAW).withColumnRenamed("isolation", "score"),
+        "forest, contextual": M.isolation_forest(rows, "delivery_id", CONTEXT).withColumnRenamed("isolation", "score"),
+        "ecod, raw": M.ecod(rows, RAW).withColumnRenamed("ecod", "score"),
+        "ecod, contextual": M.ecod(rows, CONTEXT).withColumnRenamed("ecod", "score"),
+        "lof, raw": M.lof(rows, "delivery_id", "quantity").withColumnRenamed("lof", "score").join(truth, "delivery_id"),
+        "lof, contextual": M.lof(rows, "delivery_id", "deviation").withColumnRenamed("lof", "score").join(truth, "delivery_id"),
+    }
+    long = union_all(*[df.select(F.lit(name).alias("detector"), "delivery_id", "score", "truth") for name, df in scored.items()])
+    out = M.compare_detectors(materialize(long, "scores"), "detector", "score", "delivery_id", F.col("truth"))
+    return out.select("detector", "k", "hits", F.round("average_precision", 6).alias("average_precision"), F.round("auc", 6).alias("auc"))

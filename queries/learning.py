@@ -54,7 +54,7 @@ def ml_09(spark, d):
 @query("ml_10_permutation_importance")
 def ml_10(spark, d):
     model, new = _learned(spark, d)
-    out = detect.permutation_importance(model, new, "line_id", "was_corrected", CATEGORICAL, NUMERIC, repeats=3)
+    out = detect.permutation_importance(model, new, "line_id", "was_corrected", CATEGORICAL, NUMERIC)
     return out.withColumn("importance", F.round("importance", 4))
 
 
@@ -148,7 +148,7 @@ CONDITIONS = ["clean", "imprecise", "inaccurate", "both"]
 def dr_14(spark, d):
     rows = measured(spark, d)
     cut = F.lit("2000-01-01").cast("date")
-    out = forecast.learning_curve(rows.filter(F.col("day") < cut), rows.filter(F.col("day") >= cut), "day", [14, 56, 366], FEATURES, CONDITIONS, "truth")
+    out = forecast.learning_curve(rows.filter(F.col("day") < cut), rows.filter(F.col("day") >= cut), "day", [14, 28, 56, 112, 224, 366], FEATURES, CONDITIONS, "truth")
     return out.groupBy("condition", "size").agg(F.round(F.avg("mae"), 4).alias("mae"), F.round(F.avg("mean_error"), 4).alias("mean_error"))
 
 

@@ -239,12 +239,16 @@ class BatchRefused(ValueError):
 
 
 def atomic_gate(df, contract, parents=None) -> DataFrame:
-    """The batch itself, or an exception if any row fails; stops at the first failing row."""
-    bad = flag_rows(df, contract, parents).filter(F.size("failures") > 0).limit(1).collect()
+    """The batch, or an exception if any row fails; stops at the first failing row.
+
+    The batch is written once: what comes back is what was checked, and is not computed again.
+    """
+    batch = materialize(df, "gate")
+    bad = flag_rows(batch, contract, parents).filter(F.size("failures") > 0).limit(1).collect()
     if bad:
         f = bad[0]["failures"][0]
         raise BatchRefused(f"{contract.name}: {f['column']} {f['check']} [{f['value']}]")
-    return df
+    return batch
 
 
 def requires(contract: TableContract, parents=None):
