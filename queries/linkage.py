@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from queries import query
 from queries.retail import CTES, Retail
 from truegrain.operators import linkage as L
+from truegrain.operators.ranks import join_back
+from truegrain.session import materialize
 
 SPEC = L.LinkSpec("delivery_id", ("store_id", "product_id"), "delivery_date", "quantity", "unit")
 
@@ -59,6 +61,33 @@ def ml_07_fixed(spark, d):
     return scored.select("id_l", "id_r", "n_l", "n_r", F.round("probability", 8).alias("probability"))
 
 
+THRESHOLDS = (0.01, 0.1, 0.3)
+COPIED = "delivery_id % 211 = 10 AND delivery_id < 900000000"
+
+
+@query(
+    "ml_07_pair_quality",
+    f"""{CTES}{PROFILE_SQL}, w AS (SELECT id_l, id_r, n_l, n_r, {_odds_sql()} AS w FROM pairs),
+    s AS (SELECT least(id_l, id_r) AS id_l, greatest(id_l, id_r) AS id_r, n_l * n_r AS n, w / (1 + w) AS probability FROM w),
+    m AS (SELECT delivery_id, min(delivery_id) OVER (PARTITION BY store_id, product_id, delivery_date, quantity, unit) AS pid FROM deliveries),
+    known AS (SELECT least(a.pid, b.pid) AS id_l, greatest(a.pid, b.pid) AS id_r FROM m a JOIN m b ON b.delivery_id = a.delivery_id + 900000000 WHERE a.delivery_id % 211 = 10 AND a.delivery_id < 900000000),
+    t AS (SELECT unnest([0.01, 0.1, 0.3])::DOUBLE AS threshold),
+    r AS (SELECT threshold, (SELECT sum(n * (n - 1) / 2) FROM p) + coalesce((SELECT sum(n) FROM s WHERE probability >= threshold), 0) AS found,
+      (SELECT count(*) FROM known k LEFT JOIN s USING (id_l, id_r) WHERE k.id_l = k.id_r OR s.probability >= threshold) AS hits, (SELECT count(*) FROM known) AS everything FROM t)
+    SELECT threshold, found::BIGINT AS found, hits::BIGINT AS hits, round(hits / found, 9) AS precision, round(hits / everything, 9) AS recall FROM r""",
+)
+def ml_07_quality(spark, d):
+    """Precision and recall of linked row pairs against the deliveries that were entered twice."""
+    t = Retail(spark, d).stored("deliveries")
+    rows = t["deliveries"]
+    cols = ["store_id", "product_id", "delivery_date", "quantity", "unit"]
+    members = join_back(rows, rows.groupBy(*cols).agg(F.min("delivery_id").alias("profile_id")), cols).select("profile_id", "delivery_id")
+    truth = rows.filter(COPIED).select(F.col("delivery_id").alias("id_l"), (F.col("delivery_id") + 900000000).alias("id_r"))
+    scored = materialize(L.score_pairs(L.profiles(rows, SPEC), SPEC, L.LinkModel(**FIXED), min(THRESHOLDS)), "scored")
+    out = L.pair_quality(scored, truth, THRESHOLDS, members, "delivery_id")
+    return out.select("threshold", "found", F.col("right").alias("hits"), F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
+
+
 @query("ml_07_trained_linkage")
 def ml_07(spark, d):
     """Trained model: linked profiles at p >= 0.01 with the number of row pairs behind them."""

@@ -176,7 +176,7 @@ def test_exact_duplicates_take_the_two_lowest_ids(records):
 def test_pair_quality_counts_rows_behind_profiles(spark):
     from truegrain.operators.linkage import pair_quality
 
-    scored = spark.createDataFrame([(1, 3, 0.9), (3, 4, 0.4)], "id_l long, id_r long, probability double")
+    scored = spark.createDataFrame([(1, 3, 0.9), (3, 4, 0.4), (1, 1, 1.0)], "id_l long, id_r long, probability double")
     members = spark.createDataFrame([(1, 1), (1, 2), (3, 3), (4, 4)], "profile_id long, row long")
     truth = spark.createDataFrame([(1, 2), (3, 2), (1, 3)], "id_l long, id_r long")
     rows = {r.threshold: (r.found, r.right, r.precision, r.recall) for r in pair_quality(scored, truth, [0.3, 0.8, 0.95], members, "row").collect()}

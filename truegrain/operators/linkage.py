@@ -353,12 +353,12 @@ def pair_quality(scored: DataFrame, truth: DataFrame, thresholds, members: DataF
 
     `scored` has pairs of profiles (id_l, id_r, probability), `members` the rows (profile_id, row) of
     each profile and `truth` true row pairs (id_l, id_r) in either order. Rows of one profile are found at any
-    threshold. Found pairs are counted from the sizes of profiles, never built.
+    threshold, whether or not `scored` pairs the profile with itself. Found pairs are counted from the sizes of profiles, never built.
     """
     sizes = members.groupBy("profile_id").agg(F.count(F.lit(1)).alias("n"))
     left = sizes.select(F.col("profile_id").alias("id_l"), F.col("n").alias("n_l"))
     right = sizes.select(F.col("profile_id").alias("id_r"), F.col("n").alias("n_r"))
-    pairs = scored.select(F.least("id_l", "id_r").alias("id_l"), F.greatest("id_l", "id_r").alias("id_r"), "probability")
+    pairs = scored.select(F.least("id_l", "id_r").alias("id_l"), F.greatest("id_l", "id_r").alias("id_r"), "probability").filter("id_l < id_r")
     of_l = members.select(F.col(row_id).alias("id_l"), F.col("profile_id").alias("_pl"))
     of_r = members.select(F.col(row_id).alias("id_r"), F.col("profile_id").alias("_pr"))
     known = truth.select(F.least("id_l", "id_r").alias("id_l"), F.greatest("id_l", "id_r").alias("id_r")).filter("id_l < id_r").distinct()
