@@ -59,8 +59,8 @@ stores AS (
               ELSE 'NATION_' || c_nationkey END AS city
   FROM customer),
 first_entries AS (
-  SELECT o_orderkey AS delivery_id, o_custkey % 8 + 1 AS store_id,
-         o_orderkey % 200 + 101 + CASE WHEN o_orderkey % 83 = 7 THEN 1 ELSE 0 END AS product_id,
+  SELECT o_orderkey AS delivery_id, o_orderkey % 8 + 1 AS store_id,
+         o_custkey + 101 + CASE WHEN o_orderkey % 83 = 7 THEN 1 ELSE 0 END AS product_id,
          CASE WHEN o_orderkey % 71 = 5 THEN substr(c.name, 1, 2) || substr(c.name, 4) ELSE c.name END AS product_name,
          c.category AS category, c.supplier_id AS supplier_id,
          CASE WHEN o_orderkey % 101 = 9 THEN round(o_totalprice / 10000, 1) * 1000
@@ -70,7 +70,7 @@ first_entries AS (
          CASE WHEN o_orderkey % 107 = 6 THEN DATE '1900-01-01' ELSE o_orderdate::DATE END AS delivery_date,
          o_orderdate + INTERVAL 8 HOUR AS received_at,
          o_orderdate + INTERVAL 8 HOUR + to_minutes((o_orderkey % 2000 - 100)::BIGINT) AS entered_at
-  FROM orders JOIN catalog c ON o_orderkey % 200 + 101 = c.id),
+  FROM orders JOIN catalog c ON o_custkey + 101 = c.id),
 deliveries AS (
   SELECT * FROM first_entries
   UNION ALL
@@ -79,7 +79,7 @@ deliveries AS (
          unit, delivery_date, received_at, entered_at + INTERVAL 30 MINUTE
   FROM first_entries WHERE delivery_id % 211 = 10),
 sale_lines AS (
-  SELECT l_shipdate::DATE AS date, l_orderkey % 8 + 1 AS store_id, l_partkey % 200 + 101 AS product_id, l_quantity
+  SELECT l_shipdate::DATE AS date, l_orderkey % 8 + 1 AS store_id, l_partkey + 101 AS product_id, l_quantity
   FROM lineitem),
 sale_cells AS (
   SELECT date, store_id, product_id, sum(l_quantity) AS quantity,
@@ -210,8 +210,8 @@ class Retail:
         c = self["catalog"].select(F.col("id").alias("cid"), "name", "category", "unit", "supplier_id")
         base = F.round(F.col("o_totalprice") / 10000, 1)
         received = F.col("o_orderdate") + F.expr("INTERVAL 8 HOURS")
-        first = self._raw("orders").withColumn("cid", k % 200 + 101).join(c, "cid").select(
-            k.alias("delivery_id"), (F.col("o_custkey") % 8 + 1).alias("store_id"),
+        first = self._raw("orders").withColumn("cid", F.col("o_custkey") + 101).join(c, "cid").select(
+            k.alias("delivery_id"), (k % 8 + 1).alias("store_id"),
             (F.col("cid") + F.when(k % 83 == 7, 1).otherwise(0)).alias("product_id"),
             F.when(k % 71 == 5, F.concat(F.substring("name", 1, 2), F.substr(F.col("name"), F.lit(4))))
             .otherwise(F.col("name")).alias("product_name"),
@@ -233,7 +233,7 @@ class Retail:
     def _sale_cells(self) -> DataFrame:
         lines = self._raw("lineitem").select(
             F.col("l_shipdate").cast("date").alias("date"), (F.col("l_orderkey") % 8 + 1).alias("store_id"),
-            (F.col("l_partkey") % 200 + 101).alias("product_id"), "l_quantity",
+            (F.col("l_partkey") + 101).alias("product_id"), "l_quantity",
         )
         return lines.groupBy("date", "store_id", "product_id").agg(F.sum("l_quantity").alias("quantity")).withColumn(
             "mix", F.dayofyear("date") + F.col("store_id") + F.col("product_id")

@@ -4,10 +4,13 @@ import pytest
 
 from truegrain.functions.scalars import make_gtin13
 from truegrain.operators.ranks import running
-from truegrain.plans.checks import measure_checks, retail_checks, scorecard
-from truegrain.plans.rules import retail_rules, rule_report, run_rules
+from queries.rulebook import ORIGINS, checkbook, rulebook
+from truegrain.plans.checks import measure_checks, scorecard
+from truegrain.plans.rules import agrees, rule_report, run_rules
 from pyspark.sql import functions as F
 
+PERIOD = ("2024-01-01", "2025-12-31")
+
 
 @pytest.fixture(scope="module")
 def tables(spark):
@@ -58,43 +61,43 @@ def tables(spark):
 
 def test_rules_find_their_rows(tables):
     found = {}
-    for r in run_rules(tables, retail_rules()).collect():
+    for r in run_rules(tables, rulebook(PERIOD)).collect():
         found.setdefault(r.rule, []).append(r.row_id)
     assert {k: sorted(v) for k, v in found.items()} == {
-        "zip and city correspond": ["2", "3"],
-        "supplier exists": ["3"],
-        "gtin is unique": ["4"],
-        "gtin check digit": ["3"],
-        "unit fits the category": ["2", "4"],
-        "bigger pack is not cheaper": ["2"],
-        "placeholders are missing values": ["11", "3", "4"],
-        "name belongs to the product": ["3"],
-        "no identical delivery": ["2"],
-        "date in the data period": ["3"],
-        "no sale beyond the stock": ["2025-03-02|1|1"],
-        "regular price is the catalog price": ["2025-03-02|1|1"],
+        "city of the postal code": ["2", "3"],
+        "known supplier": ["3"],
+        "code used once": ["4"],
+        "code has its check digit": ["3"],
+        "sold by a unit of its category": ["2", "4"],
+        "price grows with the pack": ["2"],
+        "value is not a stand-in": ["11", "3", "4"],
+        "name of the listed product": ["3"],
+        "entered once": ["2"],
+        "day within the books": ["3"],
+        "sold from stock": ["2025-03-02|1|1"],
+        "list price unless promoted": ["2025-03-02|1|1"],
     }
 
 
 def test_report_counts_hits_once(tables, spark):
     log = spark.createDataFrame([("suppliers", "11"), ("products", "3"), ("products", "77")], "table_name string, row_id string")
-    out = {r.rule: (r.violations, r.injected) for r in rule_report(run_rules(tables, retail_rules()), log).collect()}
-    assert out["placeholders are missing values"] == (3, 2) and out["supplier exists"] == (1, 1)
-    assert out["zip and city correspond"] == (2, 0)
+    out = {r.rule: (r.violations, r.injected) for r in rule_report(run_rules(tables, rulebook(PERIOD)), log).collect()}
+    assert out["value is not a stand-in"] == (3, 2) and out["known supplier"] == (1, 1)
+    assert out["city of the postal code"] == (2, 0)
 
 
 def test_scorecard(tables):
-    scores = measure_checks(tables, retail_checks())
+    scores = measure_checks(tables, checkbook(), ORIGINS)
     got = {(r.source, r.dimension, r.check_name): r.score for r in scores.collect()}
     assert len(got) == 21
-    assert got[("stores", "consistency", "city fits the ZIP code")] == 0.5  # the unknown ZIP does not count
-    assert got[("deliveries", "uniqueness", "no identical delivery")] == pytest.approx(2 / 3)
-    assert got[("weather", "completeness", "a reading per station and day")] == 0.75
-    assert got[("stock counts", "accuracy", "close to the audit")] == 0.5
-    assert got[("out-of-stock app", "accuracy", "report is a real stock-out")] == 0.5
-    assert got[("out-of-stock app", "completeness", "stock-outs are reported")] == 0.5
+    assert got[("stores", "consistency", "city of the postal code")] == 0.5  # the unknown ZIP does not count
+    assert got[("deliveries", "uniqueness", "entered once")] == pytest.approx(2 / 3)
+    assert got[("weather", "completeness", "all stations on all days")] == 0.75
+    assert got[("stock_counts", "accuracy", "near the audit")] == 0.5
+    assert got[("oos_reports", "accuracy", "shelf was empty")] == 0.5
+    assert got[("oos_reports", "completeness", "empty shelf was reported")] == 0.5
     card = {r.source: r for r in scorecard(scores).collect()}
-    assert card["POS events"].validity == pytest.approx(2 / 3) and card["POS events"].uniqueness == pytest.approx(2 / 3)
+    assert card["pos_events"].validity == pytest.approx(2 / 3) and card["pos_events"].uniqueness == pytest.approx(2 / 3)
 
 
 def test_denial_constraint_in_both_forms(spark):
@@ -115,3 +118,11 @@ def test_examples_of_missing_parents_and_repeated_keys(spark):
     parents = spark.createDataFrame([(7,)], "key int")
     out = {r.expectation: r.examples for r in unexpected_examples(df, [in_table("parent", parents, "key"), unique("id")]).collect()}
     assert out == {"in table": ["8", "9"], "unique": ["1"]}
+
+
+def test_agreement_with_unknown_matches(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (4, "a", None)], "id int, key string, value string")
+    known = {"rows": rows, "known": spark.createDataFrame([("a", "x")], "key string, value string")}
+    make = lambda ok: agrees("r", "flag", "rows", "known", "key = other_key", "value = other_value", unknown_ok=ok)
+    ids = lambda rule: sorted(r.row_id for r in run_rules(known, [rule]).collect())
+    assert ids(make(True)) == ["2"] and ids(make(False)) == ["2", "3", "4"]

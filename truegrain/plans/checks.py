@@ -8,15 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.functions import predicates as P
-from truegrain.functions.scalars import pad_code
-from truegrain.operators.aggregates import (
-    grid_completeness,
-    identical_share,
-    share,
-    uniqueness,
-)
-from truegrain.operators.joins import audit_accuracy, coverage, lookup
+from truegrain.operators.aggregates import uniqueness
+from truegrain.operators.diff import union_all
 
 # The quality dimensions of a scorecard.
 DIMENSIONS = ["validity", "completeness", "uniqueness", "consistency", "timeliness", "accuracy"]
@@ -30,131 +23,38 @@ class Check:
     so that they do not multiply the rows of the cheap measures.
     """
 
-    source: str
-    origin: str
+    table: str
     dimension: str
     name: str
-    table: str = ""
     measure: Callable[[], Column] | None = None
     frame: Callable[[dict[str, DataFrame]], DataFrame] | None = None
 
 
-def measure_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """(source, origin, dimension, check_name, score) for every check."""
-    parts = []
-    fused: dict[str, list[Check]] = {}
+def distinct_check(table: str, name: str, *cols: str) -> Check:
+    """Distinct values of the columns per row."""
+    return Check(table, "uniqueness", name, frame=lambda t: t[table].agg(uniqueness(*cols).alias("score")))
+
+
+def measure_checks(tables: dict[str, DataFrame], checks: list[Check], origins: dict[str, str]) -> DataFrame:
+    """(source, origin, dimension, check_name, score) for every check; `origins` tells how a table comes in."""
+
+    def labels(c: Check) -> list[Column]:
+        values = {"source": c.table, "origin": origins[c.table], "dimension": c.dimension, "check_name": c.name}
+        return [F.lit(v).alias(k) for k, v in values.items()]
+
+    parts, fused = [], {}
     for c in checks:
         if c.frame is None:
             fused.setdefault(c.table, []).append(c)
         else:
-            parts.append(
-                c.frame(tables).select(
-                    F.lit(c.source).alias("source"),
-                    F.lit(c.origin).alias("origin"),
-                    F.lit(c.dimension).alias("dimension"),
-                    F.lit(c.name).alias("check_name"),
-                    F.col("score").cast("double").alias("score"),
-                )
-            )
+            parts.append(c.frame(tables).select(*labels(c), F.col("score").cast("double").alias("score")))
     for table, group in fused.items():
         row = tables[table].agg(*[c.measure().cast("double").alias(f"m{i}") for i, c in enumerate(group)])
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(c.source).alias("source"),
-                    F.lit(c.origin).alias("origin"),
-                    F.lit(c.dimension).alias("dimension"),
-                    F.lit(c.name).alias("check_name"),
-                    F.col(f"m{i}").alias("score"),
-                )
-                for i, c in enumerate(group)
-            ]
-        )
-        parts.append(row.select(F.inline(cells)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        cells = [F.struct(*labels(c), F.col(f"m{i}").alias("score")) for i, c in enumerate(group)]
+        parts.append(row.select(F.inline(F.array(*cells))))
+    return union_all(*parts)
 
 
 def scorecard(scores: DataFrame, dimensions: list[str] = DIMENSIONS) -> DataFrame:
     """Worst score per source and dimension."""
     return scores.groupBy("source", "origin").pivot("dimension", dimensions).agg(F.min("score"))
-
-
-def unique_check(source, origin, name, table, *cols) -> Check:
-    return Check(
-        source, origin, "uniqueness", name, table,
-        frame=lambda t: t[table].agg(uniqueness(*cols).alias("score")),
-    )
-
-
-# Legal units of the retail tables and the shape of a phone number.
-UNITS = ("count", "kg", "liter")
-PHONE = "\\d{3}-555-\\d{4}"
-
-
-def retail_checks() -> list[Check]:
-    """The scorecard of a retail inventory: master data, deliveries, POS, weather, app reports.
-
-    Tables: products, suppliers, stores, zip_codes, deliveries, stock_counts, stock_audit, sales,
-    pos_events, catalog, truth, oos_reports, weather.
-    """
-    manual, system, external = "manual entry", "IT system", "external"
-    stream, crowd = "event stream", "crowdsourced"
-
-    def zip_city(t):
-        z = t["zip_codes"].select(F.col("zip").alias("_zip"), F.col("city").alias("_city"))
-        joined = lookup(t["stores"], z, pad_code("zip", 5) == F.col("_zip"))
-        return joined.agg(share(F.col("city") == F.col("_city")).alias("score"))
-
-    def name_catalog(t):
-        c = t["catalog"].select(F.col("id").alias("_id"), F.col("name").alias("_name"))
-        joined = t["deliveries"].join(c, F.col("product_id") == F.col("_id"))
-        return joined.agg(share(F.col("product_name") == F.col("_name")).alias("score"))
-
-    def price_catalog(t):
-        c = t["catalog"].select(F.col("id").alias("_id"), F.col("unit_price").alias("_price"))
-        regular = t["sales"].filter(~F.col("promo")).join(c, F.col("product_id") == F.col("_id"))
-        good = F.abs(F.col("unit_price") - F.col("_price")) < 0.005
-        return regular.agg(share(good).alias("score"))
-
-    def report_accuracy(t):
-        stock = t["truth"].select(F.col("date").cast("date").alias("_d"), "store_id", "product_id", "lost")
-        reports = t["oos_reports"].withColumn("_d", F.col("reported_at").cast("date"))
-        joined = reports.join(stock, ["_d", "store_id", "product_id"])
-        return joined.agg(share(F.col("lost") > 0).alias("score"))
-
-    def report_coverage(t):
-        keys = ["_d", "store_id", "product_id"]
-        out = t["truth"].filter(F.col("lost") > 0).select(F.col("date").cast("date").alias("_d"), *keys[1:])
-        reports = t["oos_reports"].select(F.col("reported_at").cast("date").alias("_d"), *keys[1:])
-        return coverage(out, reports, keys)
-
-    return [
-        Check("product master", manual, "validity", "unit is legal", "products", lambda: share(P.in_set("unit", UNITS))),
-        Check("product master", manual, "validity", "price is a positive number", "products", lambda: share(P.parses_positive("unit_price"))),
-        Check("product master", manual, "completeness", "name and category present", "products", lambda: share(P.present("name", "category"))),
-        unique_check("product master", manual, "id is unique", "products", "id"),
-        Check("suppliers", manual, "validity", "phone has the usual shape", "suppliers", lambda: share(P.full_match("contact_phone", PHONE))),
-        Check("stores", manual, "consistency", "city fits the ZIP code", frame=zip_city),
-        Check("deliveries", manual, "uniqueness", "no identical delivery", frame=lambda t: identical_share(
-            t["deliveries"], ["store_id", "product_id", "supplier_id", "delivery_date", "quantity"])),
-        Check("deliveries", manual, "consistency", "name fits the product", frame=name_catalog),
-        Check("deliveries", manual, "validity", "unit is legal", "deliveries", lambda: share(P.in_set("unit", UNITS))),
-        Check("deliveries", manual, "timeliness", "entered within a day", "deliveries", lambda: share(
-            P.within_interval("received_at", "entered_at", "24 HOURS"))),
-        Check("stock counts", manual, "accuracy", "close to the audit", frame=lambda t: audit_accuracy(
-            t["stock_counts"], t["stock_audit"].drop("counted_qty"), ["date", "store_id", "product_id"], "counted_qty", "audited_qty")),
-        Check("POS sales", system, "completeness", "each store reports each day", frame=lambda t: grid_completeness(t["sales"], "date", "store_id")),
-        unique_check("POS sales", system, "one row per store, product, day", "sales", "date", "store_id", "product_id"),
-        Check("POS sales", system, "consistency", "regular price is the catalog price", frame=price_catalog),
-        unique_check("POS events", stream, "event id is unique", "pos_events", "event_id"),
-        Check("POS events", stream, "validity", "event before arrival", "pos_events", lambda: share(P.before("event_time", "ingested_at", or_equal=True))),
-        Check("POS events", stream, "timeliness", "arrives within a minute", "pos_events", lambda: share(
-            P.within_interval("event_time", "ingested_at", "60 SECONDS", strict=True))),
-        Check("weather", external, "completeness", "a reading per station and day", frame=lambda t: grid_completeness(t["weather"], "date", "station", "temp_c")),
-        Check("weather", external, "validity", "temperature is possible", "weather", lambda: share(P.in_range("temp_c", -40, 45))),
-        Check("out-of-stock app", crowd, "accuracy", "report is a real stock-out", frame=report_accuracy),
-        Check("out-of-stock app", crowd, "completeness", "stock-outs are reported", frame=report_coverage),
-    ]

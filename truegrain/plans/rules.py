@@ -1,4 +1,8 @@
-"""Rules as data. Each rule returns the row ids that break it; a report scores them against a log."""
+"""Rules as data. A rule says which rows of a table break it; a report scores the findings against a log.
+
+Row conditions of one table run in one projection; unique keys, references and comparisons with other
+tables are frames of their own.
+"""
 
 from __future__ import annotations
 
@@ -8,19 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.functions import predicates as P
-from truegrain.functions.scalars import composite_key, day_text, gtin13_valid, pad_code
 from truegrain.operators.diff import union_all
-from truegrain.operators.joins import (
-    catalog_consistency,
-    cheaper_although_bigger,
-    dangling,
-    oversold,
-    reference_violations,
-)
+from truegrain.operators.joins import dangling
 from truegrain.operators.windows import duplicates_beyond_first
 
 Tables = dict[str, DataFrame]
+Expression = str | Callable[[], Column]  # SQL text, or a function that makes a column
 
 
 @dataclass(frozen=True)
@@ -28,128 +25,83 @@ class Rule:
     name: str
     kind: str
     action: str  # reject, flag or repair
-    table: str  # several tables are joined by '|'
-    find: Callable[[Tables], DataFrame]  # a frame with `row_id`
+    table: str
+    row_id: Expression
+    good: Expression | None = None  # of a row; NULL counts as good
+    find: Callable[[Tables], DataFrame] | None = None  # the rows that break the rule
 
 
-def _ids(df: DataFrame, row_id: Column | str = "id") -> DataFrame:
-    c = F.col(row_id) if isinstance(row_id, str) else row_id
-    return df.select(c.cast("string").alias("row_id"))
+def _column(e: Expression) -> Column:
+    return F.expr(e) if isinstance(e, str) else e()
 
 
-def run_rules(tables: Tables, rules: list[Rule]) -> DataFrame:
-    """(rule, kind, action, table_name, row_id) of all violations; one job for all rules."""
-    return union_all(
-        *[
-            r.find(tables).select(
-                F.lit(r.name).alias("rule"),
-                F.lit(r.kind).alias("kind"),
-                F.lit(r.action).alias("action"),
-                F.lit(r.table).alias("table_name"),
-                "row_id",
-            )
-            for r in rules
-        ]
-    )
+def holds(name: str, action: str, table: str, good: Expression, row_id: Expression = "id") -> Rule:
+    """Every row meets a condition; rules of the same name may cover several tables."""
+    return Rule(name, "row condition", action, table, row_id, good=good)
 
 
-def rule_report(found: DataFrame, errors: DataFrame) -> DataFrame:
-    """Distinct violations and how many of them the error log (table_name, row_id) explains."""
-    rows = found.distinct().withColumn("_table", F.explode(F.split("table_name", "\\|")))
-    log = errors.select(F.col("table_name").alias("_table"), "row_id").distinct().withColumn("_hit", F.lit(1))
-    # a rule over two tables meets the log once per table; the max puts the row together again
-    rows = rows.join(log, ["_table", "row_id"], "left").groupBy(
-        "rule", "kind", "action", "row_id"
-    ).agg(F.max("_hit").alias("_hit"))
-    return rows.groupBy("rule", "kind", "action").agg(
-        F.count(F.lit(1)).alias("violations"),
-        F.coalesce(F.sum("_hit"), F.lit(0)).alias("injected"),
-    )
-
+def unique(name: str, action: str, table: str, keys: list[str], order: list[str], row_id: Expression = "id") -> Rule:
+    """The first row of a key by `order` is good, all later ones are not."""
+    return Rule(name, "uniqueness", action, table, row_id,
+                find=lambda t: duplicates_beyond_first(t[table], keys, order))
 
-# Placeholders, legal units per category and the data period of the retail tables.
-PHONE_PLACEHOLDERS = ("999-9999999", "000-0000000")
-SHELF_LIFE_PLACEHOLDERS = (0, 999, 9999)
-UNITS = ("count", "kg", "liter")
-UNITS_BY_CATEGORY = {
-    "produce": ("count", "kg"),
-    "meat": ("count", "kg"),
-    "seafood": ("count", "kg"),
-    "refill": ("liter",),
-}
-OTHER_UNITS = ("count",)
-PERIOD = ("2024-01-01", "2025-12-31")
 
+def refers(name: str, action: str, table: str, key: str, parent: str, parent_key: str = "id", row_id: Expression = "id") -> Rule:
+    """The key is there and known to the parent table."""
+    return Rule(name, "reference", action, table, row_id,
+                find=lambda t: dangling(t[table], t[parent], key, parent_key, null_fk_ok=False))
 
-def zip_city(t: Tables) -> DataFrame:
-    z = t["zip_codes"].select(F.col("zip").alias("_zip"), F.col("city").alias("_city"))
-    on = pad_code(F.col("zip"), 5) == F.col("_zip")
-    return _ids(reference_violations(t["stores"], z, on, "city", "_city"))
 
+def agrees(
+    name: str, action: str, table: str, other: str, on: Expression, good: Expression,
+    row_id: Expression = "id", unknown_ok: bool = True,
+) -> Rule:
+    """A condition on a row and its match in `other`, whose columns are named other_*.
 
-def placeholders(t: Tables) -> DataFrame:
-    phones = t["suppliers"].filter(P.placeholder("contact_phone", PHONE_PLACEHOLDERS))
-    lives = t["products"].filter(
-        P.placeholder(F.col("shelf_life_days").try_cast("bigint"), SHELF_LIFE_PLACEHOLDERS)
-    )
-    return _ids(phones).unionByName(_ids(lives))
+    Rows without a match, or with NULL as the outcome, are good only if `unknown_ok`.
+    """
 
+    def find(t: Tables) -> DataFrame:
+        match = t[other].select(*[F.col(c).alias(f"other_{c}") for c in t[other].columns])
+        pairs = t[table].join(match, _column(on), "inner" if unknown_ok else "left")
+        return pairs.filter(~F.coalesce(_column(good), F.lit(unknown_ok)))
 
-def denial(t: Tables) -> DataFrame:
-    p = t["products"].select(
-        "id", "family", F.col("size").try_cast("double").alias("size"),
-        F.col("unit_price").try_cast("double").alias("price"),
-    )
-    return _ids(cheaper_although_bigger(p, "family", "size", "price"))
+    return Rule(name, "agreement", action, table, row_id, find=find)
 
 
-def name_of_id(t: Tables) -> DataFrame:
-    c = t["catalog"].select(F.col("id").alias("_id"), F.col("name").alias("_name"))
-    joined = t["deliveries"].join(c, F.col("product_id") == F.col("_id"))
-    return _ids(joined.filter(F.col("product_name") != F.col("_name")), "delivery_id")
+def found_by(name: str, action: str, table: str, find: Callable[[Tables], DataFrame], row_id: Expression = "id") -> Rule:
+    """Rows that an operator over several rows or tables returns."""
+    return Rule(name, "several rows", action, table, row_id, find=find)
 
 
-def store_day_product() -> Column:
-    return composite_key(day_text("date"), "store_id", "product_id")
+def run_rules(tables: Tables, rules: list[Rule]) -> DataFrame:
+    """(rule, kind, action, table_name, row_id) of all violations."""
+
+    def labels(r: Rule) -> list[Column]:
+        values = {"rule": r.name, "kind": r.kind, "action": r.action, "table_name": r.table}
+        return [F.lit(v).alias(k) for k, v in values.items()]
+
+    parts, fused = [], {}
+    for r in rules:
+        if r.good is None:
+            parts.append(r.find(tables).select(*labels(r), _column(r.row_id).cast("string").alias("row_id")))
+        else:
+            fused.setdefault((r.table, r.row_id), []).append(r)
+    for (table, row_id), group in fused.items():
+        broken = F.array_compact(F.array(*[F.when(~_column(r.good), F.struct(*labels(r))) for r in group]))
+        parts.append(
+            tables[table]
+            .select(_column(row_id).cast("string").alias("row_id"), F.inline(broken))
+            .select("rule", "kind", "action", "table_name", "row_id")
+        )
+    return union_all(*parts)
 
 
-def invariant(t: Tables) -> DataFrame:
-    arrivals = t["deliveries"].filter(P.in_set("unit", UNITS)).withColumnRenamed("delivery_date", "date")
-    found = oversold(
-        t["sales"], t["inventory"], arrivals.withColumnRenamed("quantity", "arrived"),
-        ["store_id", "product_id"], "date", "quantity", "on_hand_system", "arrived",
+def rule_report(found: DataFrame, errors: DataFrame) -> DataFrame:
+    """Distinct violations and how many of them the error log (table_name, row_id) explains."""
+    log = errors.select("table_name", "row_id").distinct().withColumn("_hit", F.lit(1))
+    rows = found.distinct().join(log, ["table_name", "row_id"], "left")
+    return rows.groupBy("rule", "kind", "action").agg(
+        F.count(F.lit(1)).alias("violations"),
+        F.coalesce(F.sum("_hit"), F.lit(0)).alias("injected"),
     )
-    return _ids(found, store_day_product())
-
-
-def regular_price(t: Tables) -> DataFrame:
-    c = t["catalog"].select(F.col("id").alias("_id"), F.col("unit_price").alias("_price"))
-    regular = t["sales"].filter(~F.col("promo"))
-    found = catalog_consistency(regular, c, F.col("product_id") == F.col("_id"), "unit_price", "_price")
-    return _ids(found, store_day_product())
-
-
-def retail_rules(period: tuple[str, str] = PERIOD) -> list[Rule]:
-    """Twelve rules of a retail inventory, within and across its tables."""
-    return [
-        Rule("zip and city correspond", "integrity constraint", "flag", "stores", zip_city),
-        Rule("supplier exists", "referential integrity", "reject", "products", lambda t: _ids(
-            dangling(t["products"], t["suppliers"], "supplier_id", "id", null_fk_ok=False))),
-        Rule("gtin is unique", "uniqueness", "reject", "products", lambda t: _ids(
-            duplicates_beyond_first(t["products"], ["gtin"], ["id"]))),
-        Rule("gtin check digit", "format", "reject", "products", lambda t: _ids(
-            t["products"].filter(~gtin13_valid(pad_code("gtin", 13))))),
-        Rule("unit fits the category", "conditional constraint", "reject", "products", lambda t: _ids(
-            t["products"].filter(~P.conditional_set("category", "unit", UNITS_BY_CATEGORY, OTHER_UNITS)))),
-        Rule("bigger pack is not cheaper", "denial constraint", "flag", "products", denial),
-        Rule("placeholders are missing values", "missing value", "repair", "suppliers|products", placeholders),
-        Rule("name belongs to the product", "integrity constraint", "flag", "deliveries", name_of_id),
-        Rule("no identical delivery", "uniqueness", "flag", "deliveries", lambda t: _ids(
-            duplicates_beyond_first(
-                t["deliveries"], ["store_id", "product_id", "delivery_date", "quantity"], ["entered_at", "delivery_id"]
-            ), "delivery_id")),
-        Rule("date in the data period", "illegal value", "reject", "deliveries", lambda t: _ids(
-            t["deliveries"].filter(~P.date_in_period("delivery_date", *period)), "delivery_id")),
-        Rule("no sale beyond the stock", "cross-source invariant", "flag", "sales", invariant),
-        Rule("regular price is the catalog price", "consistency", "flag", "sales", regular_price),
-    ]
