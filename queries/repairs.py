@@ -38,11 +38,12 @@ def rep_03(spark, d):
 
 
 ENTITY = ["product_id", "product_name", "category", "unit", "supplier_id"]
+SUPPORT = 5  # a product has about ten deliveries
 
 
 @query("rep_04_by_frequency")
 def rep_04(spark, d):
-    return R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=30).withColumn("p", F.round("p", 6))
+    return R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT).withColumn("p", F.round("p", 6))
 
 
 def _frequency_sql():
@@ -57,7 +58,7 @@ def _frequency_sql():
         for c in ENTITY
     )
     return f"""{CTES}, t AS (SELECT delivery_id, {text} FROM deliveries), c AS (SELECT {cols}, count(*) AS support FROM t GROUP BY ALL),
-    r AS (SELECT * FROM c WHERE support < 30), f AS (SELECT * FROM c WHERE support >= 30),
+    r AS (SELECT * FROM c WHERE support < {SUPPORT}), f AS (SELECT * FROM c WHERE support >= {SUPPORT}),
     cand AS (SELECT {", ".join(f"r.{c}" for c in ENTITY)}, {", ".join(f"f.{c} AS f_{c}" for c in ENTITY)}, {logp} AS logp FROM r JOIN f ON {differing} <= 2),
     scored AS (SELECT *, max(logp) OVER (PARTITION BY {cols}) AS top, row_number() OVER (PARTITION BY {cols} ORDER BY logp DESC, {order}) AS place FROM cand),
     z AS (SELECT {cols}, 1 / sum(exp(logp - top)) AS p FROM scored GROUP BY {cols}),
@@ -67,21 +68,21 @@ def _frequency_sql():
 
 @query("rep_04_constant_similarity", _frequency_sql())
 def rep_04_constant(spark, d):
-    out = R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=30, constant_similarity=0.5)
+    out = R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT, constant_similarity=0.5)
     return out.select("row_id", "column", "old_value", "new_value", F.round("p", 6).alias("p"))
 
 
 @query(
     "rep_05_score_repairs",
     CTES + """, e AS (SELECT delivery_id, CASE unit WHEN 'Kg' THEN 'kg' ELSE 'count' END AS new_value FROM deliveries WHERE unit IN ('Kg', 'ct')),
-    right_units AS (SELECT o_orderkey AS delivery_id, c.unit FROM orders JOIN catalog c ON o_orderkey % 200 + 101 = c.id)
+    right_units AS (SELECT o_orderkey AS delivery_id, c.unit FROM orders JOIN catalog c ON o_custkey + 101 = c.id)
     SELECT 'unit' AS "column", count(*) AS edits, count(*) FILTER (new_value IS NOT DISTINCT FROM unit) AS correct, count(*) FILTER (new_value IS DISTINCT FROM unit) AS wrong FROM e LEFT JOIN right_units USING (delivery_id)""",
 )
 def rep_05(spark, d):
     t = Retail(spark, d)
     edits = R.repair_by_mapping(t["deliveries"], "delivery_id", "unit", UNIT_SPELLINGS)
     c = t["catalog"].select(F.col("id").alias("cid"), "unit")
-    clean = t._raw("orders").withColumn("cid", F.col("o_orderkey") % 200 + 101).join(c, "cid").select(F.col("o_orderkey").alias("delivery_id"), "unit")
+    clean = t._raw("orders").withColumn("cid", F.col("o_custkey") + 101).join(c, "cid").select(F.col("o_orderkey").alias("delivery_id"), "unit")
     return R.score_repairs(edits, clean, "delivery_id", ["unit"])
 
 
