@@ -12,39 +12,55 @@ from truegrain.llm.common import bitmap, class_sample, fold, in_bitmap
 from truegrain.llm.ngrams import buckets, letter_table, letters_of
 from truegrain.session import materialize
 
-ORDERS, BITS = (3, 4, 5, 6), 17
+#: So many buckets that the n-grams of a text of 100,000 characters leave most of them free.
+ORDERS, BITS = (3, 4, 5, 6), 22
 #: Labelled rows that the linear weights are fitted on; the log-count ratios come from all labelled rows.
 SAMPLE = 16_000
 #: A feature takes part if this many labelled documents have it and its log-count ratio is so far from 0.
 LEAST, RATIO = 4, 1.0
 
 
+def spread(used, values):
+    """A table of 2^BITS numbers from those of its used buckets."""
+    import numpy as np
+
+    table = np.zeros(1 << BITS, dtype=np.float32)
+    table[used] = values
+    return table
+
+
 @dataclass
 class ToxicityModel:
-    """table[b] is weight times log-count ratio of bucket b (0: no part in it)."""
+    """weights[i] and ratios[i] belong to bucket used[i]; other buckets take no part."""
 
-    table: Any
+    used: Any
+    weights: Any
+    ratios: Any
     bias: float
 
     def scores(self, texts):
-        """Probability that each text is toxic; null, empty and letterless texts have the score of the bias."""
+        """Probability that each text is toxic; null, empty and letterless texts have the score of the bias.
+
+        A text is the vector of the ratios of its buckets at length 1, so its score does not follow its length.
+        """
         import numpy as np
 
-        letters, out = letter_table(), []
+        letters, ratio, table = letter_table(), spread(self.used, self.ratios), spread(self.used, self.weights * self.ratios)
         for text in texts:
-            points = letters_of(text or "", letters)
-            hits = [b[self.table[b] != 0] for b in buckets(points, ORDERS, BITS)] if len(points) > 2 else []
-            found = np.unique(np.concatenate(hits)) if hits else np.zeros(0, dtype=np.int64)
-            out.append(1 / (1 + np.exp(-np.clip(float(self.table[found].sum()) + self.bias, -500.0, 500.0))))
-        return np.array(out, dtype=np.float64)
+            found = present(text, letters, ratio)
+            size = np.sqrt(np.square(ratio[found], dtype=np.float64).sum())
+            logit = float(table[found].sum(dtype=np.float64)) / size if size else 0.0
+            yield 1 / (1 + np.exp(-np.clip(logit + self.bias, -500.0, 500.0)))
 
 
-def present(text, letters):
-    """The buckets that occur in a text, once each."""
+def present(text, letters, ratio=None):
+    """The buckets that occur in a text, once each; with `ratio` only those whose ratio is not 0."""
     import numpy as np
 
     points = letters_of(text or "", letters)
-    return np.unique(np.concatenate(list(buckets(points, ORDERS, BITS)))) if len(points) > 2 else np.zeros(0, dtype=np.int64)
+    hits = list(buckets(points, ORDERS, BITS)) if len(points) > 2 else []
+    hits = hits if ratio is None else [b[ratio[b] != 0] for b in hits]
+    return np.unique(np.concatenate(hits)) if hits else np.zeros(0, dtype=np.int64)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
@@ -60,52 +76,56 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 
 
 def log_count_ratios(rows: DataFrame):
-    """The ratio r of each bucket, 0 where it takes no part, from all rows of (_text, _label).
+    """(used, ratios): the buckets that take part and their ratios, from all rows of (_text, _label).
 
-    Each task adds up the documents that hold a bucket and sends a row for each bucket; the driver
-    gets a row for each of the 2^BITS buckets at most, whatever the input.
+    Each task adds up the documents that hold a bucket and sends a row for each bucket it met; the
+    driver gets a row for each of the 2^BITS buckets at most, whatever the input.
     """
     import numpy as np
 
     def count(batches):
         import pyarrow as pa
 
-        letters, n = letter_table(), np.zeros((2, 1 << BITS), dtype=np.int64)
+        letters, n = letter_table(), np.zeros((2, 1 << BITS), dtype=np.int32)
         for batch in batches:
             for text, label in zip(batch.column("_text"), batch.column("_label").to_pylist(), strict=True):
                 n[label, present(text.as_py(), letters)] += 1
-        used = np.flatnonzero(n.any(axis=0))
-        for s in range(0, len(used), 65536):
-            at = used[s : s + 65536]
+        met = np.flatnonzero(n.any(axis=0)).astype(np.int32)
+        for s in range(0, len(met), 65536):
+            at = met[s : s + 65536]
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0, at]), pa.array(n[1, at])], names=["b", "n0", "n1"])
 
-    sums = rows.select("_text", "_label").mapInArrow(count, "b long, n0 long, n1 long").groupBy("b").agg(F.sum("n0"), F.sum("n1")).toArrow()
-    counts = np.zeros((2, 1 << BITS))
-    at = sums.column(0).to_numpy()
-    counts[0, at], counts[1, at] = sums.column(1).to_numpy(), sums.column(2).to_numpy()
-    smooth = counts + 1
-    ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
-    return np.where((counts.sum(axis=0) >= LEAST) & (np.abs(ratio) >= RATIO), ratio, 0.0)
+    sums = rows.select("_text", "_label").mapInArrow(count, "b int, n0 int, n1 int").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = materialize(sums, "ngrams")
+    # each bucket that occurs counts once more in either class
+    kinds, *totals = sums.agg(F.count("*"), F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
+    of_class = [F.log((F.col(f"n{c}") + 1) / F.lit(float(totals[c] + kinds))) for c in (0, 1)]
+    taken = sums.filter(F.col("n0") + F.col("n1") >= LEAST).select("b", (of_class[1] - of_class[0]).alias("r")).filter(F.abs("r") >= RATIO).toArrow()
+    used = taken.column(0).to_numpy().astype(np.int32)
+    order = np.argsort(used)
+    return used[order], taken.column(1).to_numpy().astype(np.float32)[order]
+
 
+def fit_weights(offsets, columns, labels, weights, ratios, steps: int = 300, l2: float = 1e-4):
+    """Weights and bias of a logistic regression on texts of length 1, by Adam over the whole sample.
 
-def fit_weights(offsets, columns, labels, weights, ratio, steps: int = 300, l2: float = 1e-4):
-    """Weights and bias of a logistic regression on scaled features, by Adam over the whole sample."""
+    `columns` are places in `ratios`; text i has those from offsets[i] to offsets[i + 1].
+    """
     import numpy as np
 
-    used, inverse = np.unique(columns, return_inverse=True)
-    r, rows = ratio[used], np.repeat(np.arange(len(labels)), np.diff(offsets))
-    w, bias, total = np.zeros(len(used)), 0.0, weights.sum()
-    first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    rows = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(offsets))
+    sizes = np.sqrt(np.bincount(rows, np.square(ratios[columns], dtype=np.float64), len(labels)))
+    scale = 1 / np.where(sizes > 0, sizes, 1.0)
+    w, bias, total = np.zeros(len(ratios)), 0.0, weights.sum()
+    first, second = np.zeros(len(ratios) + 1), np.zeros(len(ratios) + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(rows, (w * r)[inverse], len(labels)) + bias
+        z = np.bincount(rows, (w * ratios)[columns], len(labels)) * scale + bias
         wrong = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * weights / total
-        slope = np.append(np.bincount(inverse, wrong[rows], len(used)) * r + l2 * w, wrong.sum())
+        slope = np.append(np.bincount(columns, (wrong * scale)[rows], len(ratios)) * ratios + l2 * w, wrong.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         move = 0.05 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    table = np.zeros(len(ratio))
-    table[used] = w * r
-    return table, float(bias)
+    return w, float(bias)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
@@ -122,16 +142,15 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     total = sum(counts.values())
     if len(counts) < 2:
         share = (counts.get(1, 0) + 0.5) / (total + 1) if total else 0.5
-        return ToxicityModel(np.zeros(1 << BITS), float(np.log(share / (1 - share))))
-    ratio = log_count_ratios(labelled(docs, marks, key, text, label))
+        return ToxicityModel(np.zeros(0, dtype=np.int32), np.zeros(0), np.zeros(0), float(np.log(share / (1 - share))))
+    used, ratios = log_count_ratios(labelled(docs, marks, key, text, label))
 
     def features(batches):
         import pyarrow as pa
 
-        letters = letter_table()
+        letters, ratio = letter_table(), spread(used, ratios)
         for batch in batches:
-            hits = [present(t.as_py(), letters) for t in batch.column("_text")]
-            hits = [h[ratio[h] != 0].astype("<i4").tobytes() for h in hits]
+            hits = [present(t.as_py(), letters, ratio).astype("<i4").tobytes() for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array(hits, pa.binary())], names=["_label", "hits"])
 
     chosen = materialize(chosen.select(F.col("_key").alias(key), F.col("_label").alias(label)), "sample")
@@ -141,18 +160,20 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     offsets = np.concatenate([[0], np.cumsum([len(h) for h in hits])]).astype(np.int64)
     of_class = np.array([max(1, (y == c).sum()) for c in (0, 1)])
     weights = np.array([counts[0] / of_class[0], counts[1] / of_class[1]])[y.astype(int)]
-    table, bias = fit_weights(offsets, np.concatenate(hits).astype(np.int64), y, weights, ratio)
-    return ToxicityModel(table.astype(np.float32), bias)
+    columns = np.searchsorted(used, np.concatenate(hits)).astype(np.int32)
+    linear, bias = fit_weights(offsets, columns, y, weights, ratios)
+    return ToxicityModel(used, linear.astype(np.float32), ratios, bias)
 
 
 def toxicity_score(model: ToxicityModel):
-    """A column function text -> score; the model has 2^BITS numbers."""
+    """A column function text -> score; the model is sent as its used buckets."""
 
     @F.arrow_udf("double")
     def score(texts):
+        import numpy as np
         import pyarrow as pa
 
-        return pa.array(model.scores(t.as_py() for t in texts))
+        return pa.array(np.fromiter(model.scores(t.as_py() for t in texts), dtype=np.float64), pa.float64())
 
     return score
 
