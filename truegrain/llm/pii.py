@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,19 +23,23 @@ NUMBERS = {
 STRETCH = re.compile(r"[+(0-9][0-9 ().+-]{6,}")
 #: Kinds with letters. They begin with a set of characters, so a search passes over the rest of a text quickly.
 EMAIL = re.compile(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IBAN = re.compile(r"[A-Z](?<!\w.)[A-Z]\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
-HEX = re.compile(r"[=:\"' ]([0-9a-fA-F]{16,64})\b")
+HEX = re.compile(r"(?<![0-9A-Za-z])([0-9a-fA-F]{16,64})\b")
 AWS = re.compile(r"AKIA[0-9A-Z]{16}\b")
 DIGIT = re.compile(r"[0-9]")
 RUN = re.compile(r"\w+")
+#: All capital letters of Unicode, as ranges of a character class.
+CAPITAL = "".join(f"{chr(run[0])}-{chr(run[-1])}" for _, g in groupby(enumerate(i for i in range(sys.maxunicode + 1) if chr(i).isupper() or chr(i).istitle()), lambda x: x[1] - x[0]) for run in [[c for _, c in g]])
+#: A name ends in a letter and leaves a possessive 's behind.
+NAME = rf"[{CAPITAL}][\w'’-]*[^\W\d_](?<!['’][sS])"
 #: Two words with capitals in a row, without which there is no name to look for.
-CAPITALS = re.compile(r"[A-ZÀ-ÞА-ЯЁ][\w'-]*\.? [A-ZÀ-ÞА-ЯЁ]")
+CAPITALS = re.compile(rf"[{CAPITAL}][\w'’-]*\.? [{CAPITAL}]")
 TITLES = {
     "m": ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин"),
     "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"),
 }
-TITLED = re.compile(r"\b(" + "|".join(t for g in TITLES.values() for t in g) + r")\.? ([A-ZÀ-ÞА-ЯЁ][\w'-]*[^\W\d_])(?: ([A-ZÀ-ÞА-ЯЁ][\w'-]*[^\W\d_]))?")
+TITLED = re.compile(r"\b(" + "|".join(t for g in TITLES.values() for t in g) + rf")\.? ({NAME})(?: ({NAME}))?")
 #: Given names of either gender and script, both to find names by and to draw surrogates from.
 GIVEN = {
     ("m", "latin"): "James Robert John Michael David William Thomas Peter Paul Daniel Martin Andreas Stefan Pierre Antoine Carlos Miguel Javier Pablo Lukas".split(),
@@ -42,7 +48,7 @@ GIVEN = {
     ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана".split(),
 }
 GENDER = {n: g for (g, _), names in GIVEN.items() for n in names}
-NAMED = re.compile(r"\b(" + "|".join(GENDER) + r") ([A-ZÀ-ÞА-ЯЁ][a-zà-ÿа-яё'-]+)\b")
+NAMED = re.compile(r"\b(" + "|".join(GENDER) + rf") ({NAME})")
 SYLLABLES = {"latin": "ba ber cor dan del far gol har kel lan mar nor pel ras sol tam ver win yor zan".split(), "cyrillic": "ба вер гор дан зем кар лаз мир нов пол рос сем тих фед шан яр".split()}
 
 
@@ -52,13 +58,15 @@ def script_of(word: str) -> str:
 
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, in order, without overlap. Names are given_m, given_f and surname;
-    a surname found once is found again where it stands alone, so that all mentions change alike."""
+    a name found once is found again where it stands alone, so that all mentions change alike."""
     found = []
     if "@" in text:
         for m in EMAIL.finditer(text):
-            local = LOCAL.search(text, max(0, m.start() - 64), m.start())
-            if local:
-                found.append((local.start(), -m.end(), 0, "email"))
+            local = m.start()
+            while local and text[local - 1] in LOCAL:
+                local -= 1
+            if local < m.start():
+                found.append((local, -m.end(), 0, "email"))
     if DIGIT.search(text):
         for stretch in STRETCH.finditer(text):
             for at in range(stretch.start(), stretch.end()):
@@ -72,27 +80,30 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(m.start(), -m.end(), 9, "secret") for m in AWS.finditer(text)]
     if not CAPITALS.search(text):
         return _apart(found)
-    surnames = set()
+    names: dict[str, tuple[int, str]] = {}
     for m in TITLED.finditer(text):
         gender = "m" if m[1] in TITLES["m"] else "f"
         if m[3]:
             found.append((m.start(2), -m.end(2), 50, f"given_{gender}"))
+            names.setdefault(m[2], (53, f"given_{gender}"))
         last = 3 if m[3] else 2
         found.append((m.start(last), -m.end(last), 50, "surname"))
-        surnames.add(m[last])
+        names[m[last]] = (52, "surname")
     for m in NAMED.finditer(text):
         found += [(m.start(1), -m.end(1), 51, f"given_{GENDER[m[1]]}"), (m.start(2), -m.end(2), 51, "surname")]
-        surnames.add(m[2])
-    if surnames:
+        names.setdefault(m[1], (53, f"given_{GENDER[m[1]]}"))
+        names[m[2]] = (52, "surname")
+    if names:
         # by their first run of word characters, so that a text with many names is still read once
         by_head: dict[str, list[str]] = {}
-        for name in surnames:
+        for name in names:
             by_head.setdefault(RUN.match(name)[0], []).append(name)
         for m in RUN.finditer(text):
             for name in by_head.get(m[0], ()):
                 end = m.start() + len(name)
                 if text.startswith(name, m.start()) and not RUN.match(text, end):
-                    found.append((m.start(), -end, 52, "surname"))
+                    order, kind = names[name]
+                    found.append((m.start(), -end, order, kind))
     return _apart(found)
 
 
