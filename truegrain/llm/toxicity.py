@@ -14,6 +14,8 @@ from truegrain.session import materialize
 
 #: So many buckets that the n-grams of a text of 100,000 characters leave most of them free.
 ORDERS, BITS = (3, 4, 5, 6), 22
+#: Buckets whose counts a task sends together.
+PART = 1 << 16
 #: Labelled rows that the linear weights are fitted on; the log-count ratios come from all labelled rows.
 SAMPLE = 16_000
 #: A feature takes part if this many labelled documents have it and its log-count ratio is so far from 0.
@@ -78,9 +80,11 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 def log_count_ratios(rows: DataFrame):
     """(used, ratios): the buckets that take part and their ratios, from all rows of (_text, _label).
 
-    Each task adds up the documents that hold a bucket and sends a row for each bucket it met; the
-    driver gets a row for each of the 2^BITS buckets at most, whatever the input.
+    Each task adds up the documents that hold a bucket and sends its counts packed, a row for each
+    PART buckets; the driver gets a row for each of the 2^BITS buckets at most, whatever the input.
     """
+    import zlib
+
     import numpy as np
 
     def count(batches):
@@ -90,12 +94,28 @@ def log_count_ratios(rows: DataFrame):
         for batch in batches:
             for text, label in zip(batch.column("_text"), batch.column("_label").to_pylist(), strict=True):
                 n[label, present(text.as_py(), letters)] += 1
-        met = np.flatnonzero(n.any(axis=0)).astype(np.int32)
-        for s in range(0, len(met), 65536):
-            at = met[s : s + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0, at]), pa.array(n[1, at])], names=["b", "n0", "n1"])
+        for part in range(0, 1 << BITS, PART):
+            own = n[:, part : part + PART]
+            if own.any():
+                # in the least width that holds the counts; most are 0, so they pack well
+                width = np.min_scalar_type(int(own.max())).newbyteorder("<")
+                body = zlib.compress(own.astype(width).tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([width.itemsize], pa.int32()), pa.array([body], pa.binary())], names=["part", "width", "body"])
+
+    def add(batches):
+        import pyarrow as pa
 
-    sums = rows.select("_text", "_label").mapInArrow(count, "b int, n0 int, n1 int").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        totals: dict[int, Any] = {}
+        for batch in batches:
+            for part, width, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = totals.setdefault(part, np.zeros((2, PART), dtype=np.int64))
+                held += np.frombuffer(zlib.decompress(body), f"<u{width}").reshape(2, PART)
+        for part, n in totals.items():
+            at = np.flatnonzero(n.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array((at + part).astype(np.int32)), pa.array(n[0, at]), pa.array(n[1, at])], names=["b", "n0", "n1"])
+
+    packed = rows.select("_text", "_label").mapInArrow(count, "part int, width int, body binary")
+    sums = packed.repartition("part").mapInArrow(add, "b int, n0 long, n1 long")
     sums = materialize(sums, "ngrams")
     # each bucket that occurs counts once more in either class
     kinds, *totals = sums.agg(F.count("*"), F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
