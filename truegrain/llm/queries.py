@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from truegrain.llm.divergence import divergence
 from truegrain.llm.exact_dedup import copy_groups
 from truegrain.llm.language import predict_language
 from truegrain.llm.mixing import mix_report
@@ -63,7 +64,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors.filter("vec_id % 100 = 0"), vectors)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours, op11_source_divergence)}
 
 ORACLES = {
     "op1_mix_sources": r"""
@@ -113,4 +118,31 @@ ORACLES = {
         ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM measured)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), words AS (SELECT row, lang, source, unnest(terms) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+        counted AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        groups AS (
+            SELECT lang, source, (SELECT coalesce(sum(n), 0) FROM counted c WHERE c.lang = g.lang AND c.source = g.source) AS n_group,
+                   (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS v, (SELECT coalesce(sum(total), 0) FROM kept k WHERE k.lang = g.lang) AS n_lang
+            FROM (SELECT DISTINCT lang, source FROM docs) g
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n_group + g.v))::BIGINT AS p,
+                   (1 + 1000000000::HUGEINT * (k.total + 1) // (g.n_lang + g.v))::BIGINT AS q
+            FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), valued AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM valued)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }
