@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from truegrain.llm.chosen_path import similar_documents
 from truegrain.llm.divergence import divergence
 from truegrain.llm.exact_dedup import copy_groups
 from truegrain.llm.language import predict_language
@@ -68,7 +69,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours, op11_source_divergence)}
+def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours, op11_source_divergence, op12_chosen_path)}
 
 ORACLES = {
     "op1_mix_sources": r"""
