@@ -6,7 +6,7 @@ finds its nodes in its task. Nodes are counted from depth START on; those with o
 that are linked already end, small ones are compared exhaustively, large ones branch on. A pair at the
 threshold stays together for one level with that probability and a node chooses 1 / threshold tokens on
 average, so deep levels lose few pairs; independent trees bring the recall to its target. Links are
-confirmed on the full sets.
+confirmed on the full sets, and of a node's links only so many leave its task as connect its sets.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ from truegrain.session import materialize
 #: Words of a shingle, and the similarity in hundredths from which sets are linked.
 WIDTH, SIMILAR = 3, 85
 #: Minwise tokens of a set, and the cells of the sketch by which pairs are sifted.
-COORDINATES, CELLS = 48, 512
+COORDINATES, CELLS = 24, 512
 #: Depth at which nodes are counted first, and at which they are compared whatever their size.
-START, DEPTH = 2, 14
-#: Nodes of so many sets are compared at once; larger ones branch, and at DEPTH go in blocks of BLOCK sets.
-SMALL, BLOCK = 128, 512
+START, DEPTH = 2, 12
+#: Nodes of so many sets are compared at once. Larger ones branch until DEPTH, or until comparing all of them
+#: in blocks of SMALL sets takes no more than SMALL comparisons for each set of the corpus.
+SMALL = 512
 #: Share of the pairs at the threshold that some tree has together at depth START.
 RECALL = 0.9999
 #: Deviations by which a sketch may miss the threshold.
@@ -49,39 +50,35 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Text -> sorted distinct 64-bit hashes of its shingles; hashes of words are kept up to a bound."""
+class Words(dict):
+    """Word -> 64-bit hash; words are kept up to a bound."""
 
     KEPT, LENGTH = 100_000, 24
 
-    def __init__(self, width: int = WIDTH):
-        self.width, self.words = width, {}
-
-    def word(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        value = self.words.get(word)
-        if value is None:
-            value = xxhash.xxh64_intdigest(word)
-            if len(word) <= self.LENGTH:
-                if len(self.words) >= self.KEPT:
-                    self.words.clear()
-                self.words[word] = value
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= self.LENGTH:
+            if len(self) >= self.KEPT:
+                self.clear()
+            self[word] = value
         return value
 
-    def of(self, text: str | None):
-        import numpy as np
 
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes = np.fromiter(map(self.word, words), dtype=np.uint64, count=len(words))
-        width = min(self.width, len(words))
-        if not width:
-            return hashes
-        n, mix = len(words) - width + 1, np.uint64(0x9E3779B97F4A7C15)
-        run = np.full(n, np.uint64(width))
-        for i in range(width):
-            run = mixed((run ^ hashes[i : i + n]) * mix + np.uint64(i + 1))
-        return np.unique(run)
+def shingle_hashes(text: str | None, hash_of: Words, width: int = WIDTH):
+    """Sorted distinct 64-bit hashes of a text's shingles; fewer words are one shingle, none have no hash."""
+    import numpy as np
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    hashes = np.fromiter(map(hash_of.__getitem__, words), dtype=np.uint64, count=len(words))
+    width = min(width, len(words))
+    if not width:
+        return hashes
+    run = hashes[: len(words) - width + 1] + np.uint64(width)
+    for i in range(1, width):
+        run = mixed(run) + hashes[i : len(words) - width + 1 + i]
+    return np.unique(mixed(run))
 
 
 def set_name(hashes) -> int:
@@ -93,16 +90,10 @@ def set_name(hashes) -> int:
 
 
 def minwise(hashes, factors):
-    """The least of the set's hashes under each of COORDINATES orders, as 32 bits each."""
+    """The least of the set's hashes times each odd factor, the upper 32 bits: its minwise token in that order."""
     import numpy as np
 
-    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for s in range(0, len(hashes), 4096):
-        turned = np.multiply.outer(factors, hashes[s : s + 4096])
-        turned ^= turned >> np.uint64(29)
-        turned *= np.uint64(0xBF58476D1CE4E5B9)
-        np.minimum(least, turned.min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return np.array([(hashes * f).min() for f in factors], dtype=np.uint64).__rshift__(np.uint64(32)).astype("<u4")
 
 
 def cells(hashes):
@@ -123,12 +114,12 @@ def sets_of(docs: DataFrame, key: str, text: str) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        shingles = Shingles()
+        known = Words()
         factors = np.random.default_rng(12).integers(0, 1 << 63, size=COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             names, sizes, mins, sketches = [], [], [], []
             for value in batch.column(2):
-                hashes = shingles.of(value.as_py())
+                hashes = shingle_hashes(value.as_py(), known)
                 names.append(set_name(hashes))
                 sizes.append(len(hashes))
                 mins.append(minwise(hashes, factors).tobytes() if len(hashes) else None)
@@ -148,10 +139,10 @@ def full_sets(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFram
         import numpy as np
         import pyarrow as pa
 
-        shingles = Shingles()
+        known = Words()
         for batch in batches:
             for value in batch.column(0):
-                hashes = shingles.of(value.as_py())
+                hashes = shingle_hashes(value.as_py(), known)
                 one = pa.ListArray.from_arrays(pa.array([0, len(hashes)], pa.int32()), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([set_name(hashes)], pa.int64()), one], names=["set", "hashes"])
 
@@ -171,7 +162,7 @@ def choices(tree: int):
 
 
 def nodes_at_start(sets: DataFrame, count: int) -> DataFrame:
-    """(node, tree, set, size): the node at depth START of each set in each tree."""
+    """(node, tree, set, size, root): the node at depth START of each set in each tree; each set is its own root."""
 
     def paths(batches):
         import numpy as np
@@ -183,13 +174,13 @@ def nodes_at_start(sets: DataFrame, count: int) -> DataFrame:
                 node = np.full(len(mins), mixed(np.array([tree + 1], dtype=np.uint64))[0])
                 for c in choices(tree)[:START]:
                     node = mixed(node ^ (mins[:, c] + np.uint64(c << 32)))
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(np.full(len(mins), tree, dtype=np.int32)), batch.column("set"), batch.column("size")], names=["node", "tree", "set", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(np.full(len(mins), tree, dtype=np.int32)), batch.column("set"), batch.column("size"), batch.column("set")], names=["node", "tree", "set", "size", "root"])
 
-    return sets.select("set", "size", "mins").mapInArrow(paths, "node long, tree int, set long, size long")
+    return sets.select("set", "size", "mins").mapInArrow(paths, "node long, tree int, set long, size long, root long")
 
 
 def children(members: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
-    """The nodes one level below for members (node, tree, set, size) of nodes at `depth`: one token's child, for a share of the nodes a second one's."""
+    """The nodes one level below for members (node, tree, set, size, root) of nodes at `depth`: one token's child, for a share of the nodes a second one's."""
 
     def branch(batches):
         import numpy as np
@@ -206,11 +197,11 @@ def children(members: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
             for i, rows in ((0, np.arange(len(node))), (1, np.flatnonzero(second))):
                 c = picked[rows, i]
                 child = mixed(node[rows] ^ (mins[rows, c] + (c.astype(np.uint64) << np.uint64(32))))
-                kept = [batch.column(n).take(pa.array(rows)) for n in ("tree", "set", "size")]
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *kept], names=["node", "tree", "set", "size"])
+                kept = [batch.column(n).take(pa.array(rows)) for n in ("tree", "set", "size", "root")]
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *kept], names=["node", "tree", "set", "size", "root"])
 
-    joined = members.join(sets.select("set", "mins"), "set").select("node", "tree", "set", "size", "mins")
-    return joined.mapInArrow(branch, "node long, tree int, set long, size long")
+    joined = members.join(sets.select("set", "mins"), "set").select("node", "tree", "set", "size", "root", "mins")
+    return joined.mapInArrow(branch, "node long, tree int, set long, size long, root long")
 
 
 def close(a, b):
@@ -251,86 +242,139 @@ def sifted(a, b):
     return pa.array(same >= at * used - SLACK * np.sqrt(at * (1 - at) * used))
 
 
-def compared(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Pairs (a, b) of a node's sets that differ in their root and may have the similarity, from members (node, n, set, size, root).
+def dealt(members: DataFrame, block: int) -> DataFrame:
+    """(node, low, high, own, set, size, root): members (node, n, set, size, root) in groups that are compared in one task.
 
-    A node of more than `block` sets is dealt to blocks; each two blocks meet in a group of their own,
-    whose size is bounded. Only pairs that pass the sketch leave the task.
+    A node of more than `block` sets is dealt to blocks, and each two blocks meet in a group of their
+    own, so the size of a group is bounded.
     """
     blocks = F.ceil(F.col("n") / F.lit(float(block))).cast("int")
-    own = F.pmod(F.xxhash64("set"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set", "size", "root")
-    dealt = dealt.join(sets.select("set", "cells"), "set")
-    names = ["node", "low", "high"]
+    with_block = members.withColumn("own", F.pmod(F.xxhash64("set"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return with_block.select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set", "size", "root")
+
+
+GROUP = ("node", "low", "high")
+
+
+def hopeful_pairs(part, sketch, s: int, e: int):
+    """Places of the pairs within rows s to e, a group, that differ in root and whose sizes and sketches allow the similarity."""
+    import numpy as np
+
+    name, size, root, side = (part[n][s:e] for n in ("set", "size", "root", "own"))
+    of_low, of_high = (np.flatnonzero(side == part[n][s]) for n in ("low", "high"))
+    x, y = np.nonzero(alike(sketch[of_low], sketch[of_high]))
+    x, y = of_low[x], of_high[y]
+    fits = (root[x] != root[y]) & (np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * SIMILAR)
+    fits &= (name[x] < name[y]) | (part["low"][s] != part["high"][s])
+    return x[fits] + s, y[fits] + s
+
+
+def sifted_members(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of `groups` that some other member may be similar to, by the sketches."""
+    names = groups.columns
 
-    def compare(batches):
+    def sift(batches):
         import numpy as np
         import pyarrow as pa
 
-        for part in whole_groups(batches, names):
-            starts, a, b = group_starts(part, names), [], []
+        for part in whole_groups(batches, GROUP):
+            starts, kept = group_starts(part, GROUP), [np.zeros(0, dtype=np.int64)]
             for s, e in zip(starts[:-1], starts[1:], strict=True):
-                if e - s < 2:
-                    continue
-                sketch = np.frombuffer(b"".join(part["cells"][s:e]), dtype=np.uint8).reshape(-1, CELLS)
-                name, size, root, side = (part[n][s:e] for n in ("set", "size", "root", "own"))
-                of_low, of_high = (np.flatnonzero(side == part[n][s]) for n in ("low", "high"))
-                met = alike(sketch[of_low], sketch[of_high])
-                x, y = np.nonzero(met)
-                x, y = of_low[x], of_high[y]
-                fits = (root[x] != root[y]) & (np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * SIMILAR)
-                fits &= (name[x] < name[y]) | (part["low"][s] != part["high"][s])
-                a.append(np.minimum(name[x], name[y])[fits])
-                b.append(np.maximum(name[x], name[y])[fits])
-            a, b = (np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(compare, "a long, b long").distinct()
+                if e - s > 1:
+                    sketch = np.frombuffer(b"".join(part["cells"][s:e]), dtype=np.uint8).reshape(-1, CELLS)
+                    kept.append(np.unique(np.concatenate(hopeful_pairs(part, sketch, s, e))))
+            at = np.concatenate(kept)
+            yield pa.RecordBatch.from_arrays([pa.array(part[n][at]) for n in names], names=names)
+
+    with_cells = groups.join(sets.select("set", "cells"), "set").select(*names, "cells")
+    return with_cells.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(sift, groups.schema)
+
+
+def exact_links(members: DataFrame, full: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the similar sets of each group, by their full sets (set, hashes).
+
+    A pair whose sets are connected already, within the group or by their roots, is passed over.
+    """
+
+    def link(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for part in whole_groups(batches, GROUP):
+            starts, links = group_starts(part, GROUP), []
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                above: dict[int, int] = {}
+
+                def root(i, above=above):
+                    while (up := above.get(i, i)) != i:
+                        i = above[i] = above.get(up, up)
+                    return i
+
+                hashes = part["hashes"][s:e]
+                sketch = np.stack([cells(h.view(np.uint64)) for h in hashes])
+                for x, y in zip(*(c.tolist() for c in hopeful_pairs(part, sketch, s, e)), strict=True):
+                    a, b = root(int(part["root"][x])), root(int(part["root"][y]))
+                    if a != b:
+                        both = len(np.intersect1d(hashes[x - s], hashes[y - s], assume_unique=True))
+                        if both * 100 >= (len(hashes[x - s]) + len(hashes[y - s]) - both) * SIMILAR:
+                            links.append((int(part["set"][x]), int(part["set"][y])))
+                            above[a] = b
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*links, strict=True) if links else ((), ()))], names=["a", "b"])
+
+    with_sets = members.join(full, "set").select(*members.columns, "hashes")
+    return with_sets.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(link, "a long, b long")
+
+
+def star_links(docs: DataFrame, members: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
+    """Links between the members of nodes and the node's first set, in their column `first`."""
+    stars = members.filter((F.col("set") != F.col("first.set")) & close(F.col("size"), F.col("first.size"))).select(F.col("first.set").alias("a"), F.col("set").alias("b")).distinct()
+    of_a, of_b = (sets.select(F.col("set").alias(n), F.col("cells").alias(f"cells_{n}")) for n in ("a", "b"))
+    pairs = materialize(stars.join(of_a, "a").join(of_b, "b").filter(sifted("cells_a", "cells_b")).select("a", "b"), "stars")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    return materialize(confirmed(pairs, needed_sets(docs, sets, needed, key, text)), "links")
+
+
+def needed_sets(docs: DataFrame, sets: DataFrame, needed: DataFrame, key: str, text: str) -> DataFrame:
+    """(set, hashes) of the sets in `needed`, read again from their texts."""
+    rows = sets.select("set", "row").join(needed, "set", "left_semi").select("row")
+    return materialize(full_sets(docs, rows, key, text), "full")
 
 
 def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
     """Links (a, b) between the distinct shingle sets (set, size, mins, cells, row): enough of them that all similar sets are connected.
 
-    At each level the members of a node are tied to its least set first; what this leaves in one
-    component needs no more comparison, so a large group of near copies takes few.
+    The members of a node are tied to one of its sets first; what this leaves in one component needs no
+    more comparison, so a large group of near copies takes few. Members of small nodes go to the
+    comparison, those of large ones to the next level.
     """
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tried = spark.createDataFrame([], "a long, b long")
-    left = spark.createDataFrame([], "a long, b long")
-    level = materialize(nodes_at_start(sets, trees()), "nodes")
-    sketches = sets.select("set", "cells")
+    level, links, left = nodes_at_start(sets, trees()), [], []
+    most = SMALL * sets.count()
     for depth in range(START, DEPTH + 1):
-        facts = level.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("set", "size")).alias("first")).filter("n > 1")
+        level = materialize(level, "nodes")
+        first = F.min_by(F.struct("set", "size"), F.xxhash64("set", F.lit(depth))).alias("first")
+        facts = level.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), first).filter("low < high").drop("low", "high")
         members = materialize(level.join(facts, "node"), "members")
-        stars = members.filter((F.col("set") != F.col("first.set")) & close(F.col("size"), F.col("first.size"))).select(F.col("first.set").alias("a"), F.col("set").alias("b")).distinct()
-        stars = materialize(stars.join(tried, ["a", "b"], "left_anti"), "stars")
-        of_a, of_b = sketches.select(F.col("set").alias("a"), F.col("cells").alias("x")), sketches.select(F.col("set").alias("b"), F.col("cells").alias("y"))
-        hopeful = materialize(stars.join(of_a, "a").join(of_b, "b").filter(sifted("x", "y")).select("a", "b"), "hopeful")
-        tried = tried.unionByName(stars)
-        links = links.unionByName(materialize(_confirm(docs, sets, hopeful, key, text), "links"))
-        roots = materialize(components(links), "roots")
-        tagged = members.join(roots.withColumnRenamed("node", "of"), F.col("set") == F.col("of"), "left")
-        tagged = materialize(tagged.select("node", "tree", "set", "size", "n", F.coalesce("root", "set").alias("root")), "tagged")
+        # at the first depth this spares the small nodes most of their work, later on it is for the large ones
+        links.append(star_links(docs, members if depth == START else members.filter(F.col("n") > SMALL), sets, key, text))
+        roots = materialize(components(links[0] if depth == START else links[0].unionByName(links[-1])), "roots")
+        links[0] = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        tagged = members.drop("root", "first").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+        tagged = materialize(tagged, "tagged")
         several = tagged.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("node")
         open_ = materialize(tagged.join(several, "node", "left_semi"), "open")
-        last = depth == DEPTH
-        near = compared(open_ if last else open_.filter(F.col("n") <= SMALL), sets, BLOCK if last else SMALL)
-        left = left.unionByName(materialize(near, "near"))
         large = open_.filter(F.col("n") > SMALL)
-        if last or large.isEmpty():
+        work = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if work <= most or depth == DEPTH:
+            left.append(open_)
             break
-        level = materialize(children(large.select("node", "tree", "set", "size"), sets, depth).distinct(), "nodes")
-    rest = materialize(left.distinct().join(tried, ["a", "b"], "left_anti"), "rest")
-    return links.unionByName(materialize(_confirm(docs, sets, rest, key, text), "links"))
-
-
-def _confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """`confirmed`, with the full sets read again from the texts of the pairs' sets."""
-    needed = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    rows = sets.select("set", "row").join(needed, "set", "left_semi")
-    return confirmed(pairs, materialize(full_sets(docs, rows.select("row"), key, text), "full"))
+        left.append(open_.filter(F.col("n") <= SMALL))
+        level = children(large, sets, depth).distinct()
+    groups = dealt(left[0], SMALL)
+    for more in left[1:]:
+        groups = groups.unionByName(dealt(more, SMALL))
+    members = materialize(sifted_members(groups, sets), "sifted")
+    full = needed_sets(docs, sets, members.select("set").distinct(), key, text)
+    return links[0].unionByName(materialize(exact_links(members, full), "links"))
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
