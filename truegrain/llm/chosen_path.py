@@ -27,8 +27,8 @@ WIDTH, SIMILAR = 3, 85
 COORDINATES, CELLS = 24, 512
 #: Depth at which nodes are counted first, and at which they are compared whatever their size.
 START, DEPTH = 2, 12
-#: Nodes of so many sets are compared at once. Larger ones branch until DEPTH, or until comparing all of them
-#: in blocks of SMALL sets takes no more than SMALL comparisons for each set of the corpus.
+#: Nodes of so many sets are compared at once. Of larger ones blocks are, then those whose sets this leaves apart
+#: branch, until DEPTH or until comparing the blocks of all of them takes SMALL comparisons a set of the corpus.
 SMALL = 512
 #: Share of the pairs at the threshold that some tree has together at depth START.
 RECALL = 0.9999
@@ -242,15 +242,16 @@ def sifted(a, b):
     return pa.array(same >= at * used - SLACK * np.sqrt(at * (1 - at) * used))
 
 
-def dealt(members: DataFrame, block: int) -> DataFrame:
+def dealt(members: DataFrame, pairs: bool) -> DataFrame:
     """(node, low, high, own, set, size, root): members (node, n, set, size, root) in groups that are compared in one task.
 
-    A node of more than `block` sets is dealt to blocks, and each two blocks meet in a group of their
-    own, so the size of a group is bounded.
+    A node of more than SMALL sets is dealt to blocks. Each block is a group, or with `pairs` each two
+    blocks, so the size of a group is bounded.
     """
-    blocks = F.ceil(F.col("n") / F.lit(float(block))).cast("int")
-    with_block = members.withColumn("own", F.pmod(F.xxhash64("set"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return with_block.select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set", "size", "root")
+    blocks = F.ceil(F.col("n") / F.lit(float(SMALL))).cast("int")
+    own = members.withColumn("own", F.pmod(F.xxhash64("set", "node"), blocks).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) if pairs else own.withColumn("other", F.col("own"))
+    return met.select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set", "size", "root")
 
 
 GROUP = ("node", "low", "high")
@@ -290,6 +291,15 @@ def sifted_members(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return with_cells.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(sift, groups.schema)
 
 
+def grouped_by(x, y):
+    """The values of x, sorted, and for each an array of its y."""
+    import numpy as np
+
+    order = np.argsort(x, kind="stable")
+    values, starts = np.unique(x[order], return_index=True)
+    return values, np.split(y[order], starts[1:])
+
+
 def exact_links(members: DataFrame, full: DataFrame) -> DataFrame:
     """Links (a, b) that connect the similar sets of each group, by their full sets (set, hashes).
 
@@ -303,22 +313,18 @@ def exact_links(members: DataFrame, full: DataFrame) -> DataFrame:
         for part in whole_groups(batches, GROUP):
             starts, links = group_starts(part, GROUP), []
             for s, e in zip(starts[:-1], starts[1:], strict=True):
-                above: dict[int, int] = {}
-
-                def root(i, above=above):
-                    while (up := above.get(i, i)) != i:
-                        i = above[i] = above.get(up, up)
-                    return i
-
-                hashes = part["hashes"][s:e]
-                sketch = np.stack([cells(h.view(np.uint64)) for h in hashes])
-                for x, y in zip(*(c.tolist() for c in hopeful_pairs(part, sketch, s, e)), strict=True):
-                    a, b = root(int(part["root"][x])), root(int(part["root"][y]))
-                    if a != b:
-                        both = len(np.intersect1d(hashes[x - s], hashes[y - s], assume_unique=True))
-                        if both * 100 >= (len(hashes[x - s]) + len(hashes[y - s]) - both) * SIMILAR:
-                            links.append((int(part["set"][x]), int(part["set"][y])))
-                            above[a] = b
+                hashes, name = part["hashes"][s:e], part["set"][s:e]
+                x, y = hopeful_pairs(part, np.stack([cells(h.view(np.uint64)) for h in hashes]), s, e)
+                label = np.unique(part["root"][s:e], return_inverse=True)[1]
+                for i, others in zip(*grouped_by(x - s, y - s), strict=True):
+                    others = others[label[others] != label[i]]
+                    while len(others):
+                        j, others = others[0], others[1:]
+                        both = len(np.intersect1d(hashes[i], hashes[j], assume_unique=True))
+                        if both * 100 >= (len(hashes[i]) + len(hashes[j]) - both) * SIMILAR:
+                            links.append((int(name[i]), int(name[j])))
+                            label[label == label[j]] = label[i]
+                            others = others[label[others] != label[i]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*links, strict=True) if links else ((), ()))], names=["a", "b"])
 
     with_sets = members.join(full, "set").select(*members.columns, "hashes")
@@ -340,41 +346,54 @@ def needed_sets(docs: DataFrame, sets: DataFrame, needed: DataFrame, key: str, t
     return materialize(full_sets(docs, rows, key, text), "full")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
-    """Links (a, b) between the distinct shingle sets (set, size, mins, cells, row): enough of them that all similar sets are connected.
+def compared(docs: DataFrame, groups: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
+    """Links that connect the similar sets of each group: those the sketches leave are compared by their full sets."""
+    members = materialize(sifted_members(groups, sets), "sifted")
+    return materialize(exact_links(members, needed_sets(docs, sets, members.select("set").distinct(), key, text)), "links")
+
 
-    The members of a node are tied to one of its sets first; what this leaves in one component needs no
-    more comparison, so a large group of near copies takes few. Members of small nodes go to the
-    comparison, those of large ones to the next level.
+def set_roots(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, root) of the distinct shingle sets (set, size, mins, cells, row) that similar ones connect to a lesser one, the least.
+
+    The members of a node are tied to one of its sets first, which they mostly share in all trees; what
+    this leaves in one component needs no more comparison, so a large group of near copies takes few.
     """
-    level, links, left = nodes_at_start(sets, trees()), [], []
-    most = SMALL * sets.count()
+    roots = sets.sparkSession.createDataFrame([], "node long, root long")
+
+    def joined(links: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return roots
+        return materialize(components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+
+    def apart(members: DataFrame) -> DataFrame:
+        """Members with their present roots, of the nodes that have several."""
+        tagged = members.drop("root").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+        tagged = materialize(tagged, "tagged")
+        several = tagged.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("node")
+        return materialize(tagged.join(several, "node", "left_semi"), "apart")
+
+    level, most = nodes_at_start(sets, trees()), SMALL * sets.count()
     for depth in range(START, DEPTH + 1):
         level = materialize(level, "nodes")
-        first = F.min_by(F.struct("set", "size"), F.xxhash64("set", F.lit(depth))).alias("first")
+        first = F.min(F.struct("set", "size")).alias("first")
         facts = level.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), first).filter("low < high").drop("low", "high")
         members = materialize(level.join(facts, "node"), "members")
-        # at the first depth this spares the small nodes most of their work, later on it is for the large ones
-        links.append(star_links(docs, members if depth == START else members.filter(F.col("n") > SMALL), sets, key, text))
-        roots = materialize(components(links[0] if depth == START else links[0].unionByName(links[-1])), "roots")
-        links[0] = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        tagged = members.drop("root", "first").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-        tagged = materialize(tagged, "tagged")
-        several = tagged.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("node")
-        open_ = materialize(tagged.join(several, "node", "left_semi"), "open")
-        large = open_.filter(F.col("n") > SMALL)
+        if depth == START:
+            roots = joined(star_links(docs, members, sets, key, text))
+            members = apart(members.drop("first"))
+        links = compared(docs, dealt(members, pairs=False), sets, key, text)
+        roots = joined(links)
+        large = members.filter(F.col("n") > SMALL)
+        if large.isEmpty():
+            break
+        large = apart(large.drop("first"))
         work = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         if work <= most or depth == DEPTH:
-            left.append(open_)
+            if work:
+                roots = joined(compared(docs, dealt(large, pairs=True), sets, key, text))
             break
-        left.append(open_.filter(F.col("n") <= SMALL))
         level = children(large, sets, depth).distinct()
-    groups = dealt(left[0], SMALL)
-    for more in left[1:]:
-        groups = groups.unionByName(dealt(more, SMALL))
-    members = materialize(sifted_members(groups, sets), "sifted")
-    full = needed_sets(docs, sets, members.select("set").distinct(), key, text)
-    return links[0].unionByName(materialize(exact_links(members, full), "links"))
+    return roots
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -388,7 +407,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = materialize(sets_of(docs, key, text), "shingles")
     distinct = rows.filter("size > 0").groupBy("set").agg(F.first("size").alias("size"), F.first("mins").alias("mins"), F.first("cells").alias("cells"), F.first("row").alias("row"), F.min("doc_id").alias("least"))
     sets = materialize(distinct, "sets")
-    roots = materialize(components(set_links(docs, sets, key, text)), "roots")
+    roots = set_roots(docs, sets, key, text)
     grouped = sets.select("set", "least").join(roots, F.col("set") == F.col("node"), "left").select("set", "least", "root")
     grouped = materialize(grouped, "grouped")
     tied = grouped.select("least", F.coalesce("root", "set").alias("of")).join(roots.select(F.col("root").alias("of")).distinct(), "of", "left_semi")
