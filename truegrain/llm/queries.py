@@ -15,6 +15,7 @@ from truegrain.llm.packing import pack
 from truegrain.llm.pii import replace_personal_data
 from truegrain.llm.sharding import shard_documents
 from truegrain.llm.simhash import near_duplicates
+from truegrain.llm.spelling import spelling_variants
 from truegrain.llm.token_output import packed_rows
 from truegrain.llm.toxicity import score_toxicity
 from truegrain.session import load
@@ -73,7 +74,11 @@ def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours, op11_source_divergence, op12_chosen_path)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_language, op4_packing, op5_sharding, op6_toxicity, op7_surrogates, op8_simhash, op9_packed_ids, op10_neighbours, op11_source_divergence, op12_chosen_path, op13_spelling_variants)}
 
 ORACLES = {
     "op1_mix_sources": r"""
