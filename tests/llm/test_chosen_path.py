@@ -56,10 +56,10 @@ def test_driver_documents(spark):
     assert answer(corpus.op12_chosen_path(spark, "/root/testdata/sf0.001")) == expected
 
 
-@pytest.mark.parametrize("small, depth", [(512, 12), (16, 4)])
-def test_templates_and_near_copies(spark, monkeypatch, small, depth):
+@pytest.mark.parametrize("small, work, depth", [(1024, 4096, 12), (16, 0, 4)])
+def test_templates_and_near_copies(spark, monkeypatch, small, work, depth):
     """Groups around the threshold, more than a node compares at once, and the last depth in blocks."""
-    for name, value in (("SMALL", small), ("DEPTH", depth)):
+    for name, value in (("SMALL", small), ("WORK", work), ("DEPTH", depth)):
         monkeypatch.setattr(module, name, value)
     draw = random.Random(7)
     vocabulary = [f"word{i}" for i in range(500)]

@@ -27,9 +27,9 @@ WIDTH, SIMILAR = 3, 85
 COORDINATES, CELLS = 24, 512
 #: Depth at which nodes are counted first, and at which they are compared whatever their size.
 START, DEPTH = 2, 12
-#: Nodes of so many sets are compared at once. Of larger ones blocks are, then those whose sets this leaves apart
-#: branch, until DEPTH or until comparing the blocks of all of them takes SMALL comparisons a set of the corpus.
-SMALL = 512
+#: Nodes of up to SMALL sets are compared at once. Larger ones go in blocks, each with each, where all of them take
+#: up to WORK comparisons a set of the corpus, and at DEPTH; otherwise they branch once their blocks are compared.
+SMALL, WORK = 1024, 4096
 #: Share of the pairs at the threshold that some tree has together at depth START.
 RECALL = 0.9999
 #: Deviations by which a sketch may miss the threshold.
@@ -372,7 +372,7 @@ def set_roots(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
         several = tagged.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("node")
         return materialize(tagged.join(several, "node", "left_semi"), "apart")
 
-    level, most = nodes_at_start(sets, trees()), SMALL * sets.count()
+    level, most = nodes_at_start(sets, trees()), WORK * sets.count()
     for depth in range(START, DEPTH + 1):
         level = materialize(level, "nodes")
         first = F.min(F.struct("set", "size")).alias("first")
@@ -381,18 +381,13 @@ def set_roots(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
         if depth == START:
             roots = joined(star_links(docs, members, sets, key, text))
             members = apart(members.drop("first"))
-        links = compared(docs, dealt(members, pairs=False), sets, key, text)
-        roots = joined(links)
         large = members.filter(F.col("n") > SMALL)
-        if large.isEmpty():
-            break
-        large = apart(large.drop("first"))
         work = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        if work <= most or depth == DEPTH:
-            if work:
-                roots = joined(compared(docs, dealt(large, pairs=True), sets, key, text))
+        last = work <= most or depth == DEPTH
+        roots = joined(compared(docs, dealt(members, pairs=last), sets, key, text))
+        if last:
             break
-        level = children(large, sets, depth).distinct()
+        level = children(apart(large.drop("first")), sets, depth).distinct()
     return roots
 
 
