@@ -150,6 +150,28 @@ def test_packed_rows_round_trip(spark, texts):
         assert tokenizer.decode(ids[:-1]) == (row.text or "")
 
 
+def near_survivors(texts):
+    """The least key of each connected part of the texts, tied by a Jaccard similarity of 0.8 in five-word shingles; all pairs."""
+    sets, above = {}, {i: i for i in texts}
+    for i, text in texts.items():
+        words = (text or "").encode().lower().split()
+        width = min(5, len(words))
+        sets[i] = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} if words else {()}
+
+    def root(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    keys = sorted(texts)
+    for n, a in enumerate(keys):
+        for b in keys[:n]:
+            if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                above[high] = low
+    return {root(i) for i in keys}
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark):
     """Each stage on its own input, by the plain definition of what it keeps."""
     import corpus_pipeline
@@ -169,9 +191,7 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
                 best[text] = max(best.get(text, -1), r.doc_id)
             assert sorted(kept[name]) == sorted(best.values())
         elif name == "simhash_near_dedup":
-            from truegrain.llm.simhash import near_duplicates
-
-            assert sorted(kept[name]) == sorted({r.component_id for r in near_duplicates(before).collect()})
+            assert sorted(kept[name]) == sorted(near_survivors({r.doc_id: r.text for r in rows}))
         elif name == "mix_sources":
             from truegrain.llm.mixing import mix_report
 

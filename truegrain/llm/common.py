@@ -1,12 +1,12 @@
 """What the operators of this package share: folds of ids, fixed-size bitmaps, ranks, dropping rows.
 
-Names that begin with an underscore are the package's own; a column of the same name in the input is
-replaced. Other extra columns of the input never matter.
+Names that begin with an underscore are the package's own. Stages that return documents carry the columns of
+their input as one struct, so a column of such a name is neither lost nor in the way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITMAP_BITS = 24
 
 
+#: Texts that go to a Python worker at once, by rows and by bytes, whatever their lengths.
+BATCH_ROWS, BATCH_BYTES = 1000, "16m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of bounded size, so the memory of workers follows neither their number nor their lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def carried(docs: DataFrame, key: str, text: str, **more: str) -> DataFrame:
+    """(_row, _id, _text, ...): all columns of the documents as one struct, and those that a stage reads."""
+    named = [F.col(f"`{c}`").alias(a) for a, c in {"_id": key, "_text": text, **more}.items()]
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *named)
+
+
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo folds; a null key counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -109,16 +125,15 @@ def apply_decisions(docs: DataFrame, listed: DataFrame, key: str, text: str) ->
 
     Rows whose hash is not in the bitmap of the list pass without a shuffle; the others are looked up.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    tagged = docs.withColumn("_digest", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).withColumn("_id", F.col(key)).withColumn("_both", F.xxhash64("_id", "_digest"))
+    tagged = carried(docs, key, text).withColumn("_digest", F.xxhash64(F.coalesce(F.col("_text"), F.lit("")))).drop("_text").withColumn("_both", F.xxhash64("_id", "_digest"))
     words = materialize(bitmap(listed.select(F.xxhash64("_id", "_digest").alias("_both")), "_both"), "bitmap")
     flagged = in_bitmap(tagged, "_both", words)
     facts = listed.select(F.col("_id").alias("_lid"), F.col("_digest").alias("_ldigest"), "_drop")
     looked = flagged.filter("_hit").join(facts, F.col("_id").eqNullSafe(F.col("_lid")) & (F.col("_digest") == F.col("_ldigest")), "left")
-    out = flagged.filter("not _hit").select(*columns).unionByName(looked.filter("_drop is null").select(*columns))
-    if listed.filter("not _drop").isEmpty():
-        return out
-    return out.unionByName(looked.filter("not _drop").dropDuplicates(["_id", "_digest"]).select(*columns))
+    out = flagged.filter("not _hit").select("_row").unionByName(looked.filter("_drop is null").select("_row"))
+    if not listed.filter("not _drop").isEmpty():
+        out = out.unionByName(looked.filter("not _drop").dropDuplicates(["_id", "_digest"]).select("_row"))
+    return out.select("_row.*")
 
 
 def whole_groups(batches, keys):

@@ -80,9 +80,14 @@ def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", all_ha
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their columns. Texts that refinement shows to be unique never leave their task."""
-    words = surviving(docs, key, text)
+    """The documents that stay, with all their columns. Texts that refinement shows to be unique never leave their task.
+
+    As in `copy_groups`, null texts count as empty, the row with the largest key stays, and of rows that
+    repeat that key one. An empty table gives no rows.
+    """
+    texts = docs.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    words = surviving(texts, "_id", "_text")
     digest = F.xxhash64("_body").alias("_digest")
-    rows = _hashed(docs, words, key, text).filter("_hit").select(F.col(key).alias("_id"), digest, F.col("_hash").alias("_group"))
+    rows = _hashed(texts, words, "_id", "_text").filter("_hit").select("_id", digest, F.col("_hash").alias("_group"))
     rows = materialize(rows, "hashes")
     return apply_decisions(docs, decisions(rows, F.max(F.struct("_id", "_digest"))), key, text)

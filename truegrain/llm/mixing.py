@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import WORD
+from truegrain.llm.common import WORD, carried
 from truegrain.session import materialize
 
 #: Seeds that a source can have.
@@ -99,11 +99,13 @@ def mix_report(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int =
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with the columns of `docs`.
+    """The documents of the mix, each as often as it is taken, with all columns of `docs`.
 
-    Sizes and source plans are written first and few, so the texts are read twice and not shuffled.
+    Sizes and source plans are written first and few, so the texts are read twice and not shuffled. Null
+    and blank texts have size 0; they are taken as often as their source's rate says. An empty table gives
+    no rows.
     """
-    sized = measured(docs)
+    sized = measured(carried(docs, "doc_id", "text", _of="source"), "_id", "_text", "_of")
     plan = planned(materialize(sized.select("_source", "_size", "_draw"), "sizes"), weights, most)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")
-    return mix(sized, plan).select(*(F.col(f"`{c}`") for c in docs.columns), copies).drop("_copy")
+    return mix(sized, plan).select("_row", copies).select("_row.*")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.llm.chosen_path import similar_documents
+from truegrain.llm.common import small_batches
 from truegrain.llm.divergence import divergence
 from truegrain.llm.exact_dedup import copy_groups
 from truegrain.llm.language import predict_language
@@ -46,6 +47,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return score_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 

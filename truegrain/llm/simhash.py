@@ -163,6 +163,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """The documents with their columns, of each group of near copies the one with the least key (then text hash); a null key loses.
 
     A corpus loses copies at a similarity of 0.8 in five-word shingles, which two bits of op8's fingerprint do not reach.
+    Texts without words are one group, rows that repeat a key and text are one document. An empty table gives no rows.
     """
     rows = materialize(sketches(docs, key, text), "sketches")
     groups = materialize(near_sets(docs, rows, text), "grouped")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import bitmap, class_sample, fold, in_bitmap
+from truegrain.llm.common import bitmap, carried, class_sample, fold, in_bitmap
 from truegrain.llm.ngrams import buckets, letter_table, letters_of
 from truegrain.session import materialize
 
@@ -16,8 +16,9 @@ from truegrain.session import materialize
 ORDERS, BITS = (3, 4, 5, 6), 22
 #: Buckets whose counts a task sends together.
 PART = 1 << 16
-#: Labelled rows that the linear weights are fitted on; the log-count ratios come from all labelled rows.
-SAMPLE = 16_000
+#: Labelled rows, about as many of either class as there are, that give the log-count ratios, and those of them
+#: that the linear weights are fitted on. A hash of the key chooses them before any text moves.
+LABELLED, SAMPLE = 40_000, 16_000
 #: A feature takes part if this many labelled documents have it and its log-count ratio is so far from 0.
 LEAST, RATIO = 4, 1.0
 
@@ -39,6 +40,7 @@ class ToxicityModel:
     weights: Any
     ratios: Any
     bias: float
+    tables: Any = field(default=None, compare=False)
 
     def scores(self, texts):
         """Probability that each text is toxic; null, empty and letterless texts have the score of the bias.
@@ -47,7 +49,9 @@ class ToxicityModel:
         """
         import numpy as np
 
-        letters, ratio, table = letter_table(), spread(self.used, self.ratios), spread(self.used, self.weights * self.ratios)
+        # once a task, to which the model is sent without them
+        self.tables = self.tables or (letter_table(), spread(self.used, self.ratios), spread(self.used, self.weights * self.ratios))
+        letters, ratio, table = self.tables
         for text in texts:
             found = present(text, letters, ratio)
             size = np.sqrt(np.square(ratio[found], dtype=np.float64).sum())
@@ -78,7 +82,7 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 
 
 def log_count_ratios(rows: DataFrame):
-    """(used, ratios): the buckets that take part and their ratios, from all rows of (_text, _label).
+    """(used, ratios): the buckets that take part and their ratios, from rows of (_text, _label).
 
     Each task adds up the documents that hold a bucket and sends its counts packed, a row for each
     PART buckets; the driver gets a row for each of the 2^BITS buckets at most, whatever the input.
@@ -149,16 +153,18 @@ def fit_weights(offsets, columns, labels, weights, ratios, steps: int = 300, l2:
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Fit on labelled documents: log-count ratios over all of them, linear weights over about SAMPLE.
+    """Fit on labelled documents: log-count ratios over about LABELLED of them, linear weights over about SAMPLE.
 
-    The sample has as many rows of either class as there are; weights restore the classes' shares.
+    A sample has as many rows of either class as there are; weights restore the classes' shares.
     Without rows of both classes the model gives every text the share of toxic ones (0.5 if there are no labels).
     """
     import numpy as np
 
-    marks = materialize(labels.select(key, label), "labels")
+    marked = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key)).agg(F.max(label).cast("int").alias(label))
+    marks, shares = class_sample(materialize(marked, "labels"), label, LABELLED, F.col(key))
+    marks = materialize(marks, "labels")
     rows = materialize(labelled(docs, marks, key, text, label).select("_key", "_label"), "labelled")
-    chosen, counts = class_sample(rows, "_label", SAMPLE, F.col("_key"))
+    chosen, counts = class_sample(rows, "_label", SAMPLE, F.lit("weights"), F.col("_key"))
     total = sum(counts.values())
     if len(counts) < 2:
         share = (counts.get(1, 0) + 0.5) / (total + 1) if total else 0.5
@@ -179,7 +185,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     hits = [np.frombuffer(h.as_py(), "<i4") for h in sample.column(1)]
     offsets = np.concatenate([[0], np.cumsum([len(h) for h in hits])]).astype(np.int64)
     of_class = np.array([max(1, (y == c).sum()) for c in (0, 1)])
-    weights = np.array([counts[0] / of_class[0], counts[1] / of_class[1]])[y.astype(int)]
+    weights = np.array([shares[0] / of_class[0], shares[1] / of_class[1]])[y.astype(int)]
     columns = np.searchsorted(used, np.concatenate(hits)).astype(np.int32)
     linear, bias = fit_weights(offsets, columns, y, weights, ratios)
     return ToxicityModel(used, linear.astype(np.float32), ratios, bias)
@@ -209,7 +215,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with a score under 0.5, with their columns."""
+    """The documents with a score under 0.5, with all their columns; null, empty and letterless texts have the bias's score.
+
+    An empty table gives no rows; repeated rows stay or go together.
+    """
     model = learn_toxicity(docs.filter(fold(key, folds) != held), labels.filter(fold(key, folds) != held), key, text)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.withColumn("_score", toxicity_score(model)(F.col(text))).filter(F.col("_score") < 0.5).select(*columns)
+    return carried(docs, key, text).filter(toxicity_score(model)(F.col("_text")) < 0.5).select("_row.*")
