@@ -218,7 +218,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.filter(both * 100 >= (F.size("left") + F.size("right") - both) * SIMILAR).select("a", "b")
 
 
-def alike(a, b):
+def alike(a, b, similar: int = SIMILAR):
     """For sketches a (n rows) and b (m rows): whether the share of equal cells allows the similarity, SLACK deviations below it."""
     import numpy as np
 
@@ -226,11 +226,20 @@ def alike(a, b):
     for i in range(len(a)):
         used = ((a[i] | b) != 0).sum(axis=1)
         same = ((a[i] == b) & (b != 0)).sum(axis=1)
-        at = SIMILAR / 100
+        at = similar / 100
         out[i] = same >= at * used - SLACK * np.sqrt(at * (1 - at) * used)
     return out
 
 
+@F.arrow_udf(T.BinaryType())
+def sketched(sets):
+    """`cells` of sets of sorted hashes."""
+    import numpy as np
+    import pyarrow as pa
+
+    return pa.array([cells(h.values.to_numpy(zero_copy_only=False).view(np.uint64)).tobytes() for h in sets], pa.binary())
+
+
 @F.arrow_udf(T.BooleanType())
 def sifted(a, b):
     """Whether the sketches of two sets allow the similarity."""
@@ -257,20 +266,20 @@ def dealt(members: DataFrame, pairs: bool) -> DataFrame:
 GROUP = ("node", "low", "high")
 
 
-def hopeful_pairs(part, sketch, s: int, e: int):
+def hopeful_pairs(part, sketch, s: int, e: int, similar: int = SIMILAR):
     """Places of the pairs within rows s to e, a group, that differ in root and whose sizes and sketches allow the similarity."""
     import numpy as np
 
     name, size, root, side = (part[n][s:e] for n in ("set", "size", "root", "own"))
     of_low, of_high = (np.flatnonzero(side == part[n][s]) for n in ("low", "high"))
-    x, y = np.nonzero(alike(sketch[of_low], sketch[of_high]))
+    x, y = np.nonzero(alike(sketch[of_low], sketch[of_high], similar))
     x, y = of_low[x], of_high[y]
-    fits = (root[x] != root[y]) & (np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * SIMILAR)
+    fits = (root[x] != root[y]) & (np.minimum(size[x], size[y]) * 100 >= np.maximum(size[x], size[y]) * similar)
     fits &= (name[x] < name[y]) | (part["low"][s] != part["high"][s])
     return x[fits] + s, y[fits] + s
 
 
-def sifted_members(groups: DataFrame, sets: DataFrame) -> DataFrame:
+def sifted_members(groups: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """The rows of `groups` that some other member may be similar to, by the sketches."""
     names = groups.columns
 
@@ -283,7 +292,7 @@ def sifted_members(groups: DataFrame, sets: DataFrame) -> DataFrame:
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 if e - s > 1:
                     sketch = np.frombuffer(b"".join(part["cells"][s:e]), dtype=np.uint8).reshape(-1, CELLS)
-                    kept.append(np.unique(np.concatenate(hopeful_pairs(part, sketch, s, e))))
+                    kept.append(np.unique(np.concatenate(hopeful_pairs(part, sketch, s, e, similar))))
             at = np.concatenate(kept)
             yield pa.RecordBatch.from_arrays([pa.array(part[n][at]) for n in names], names=names)
 
@@ -300,7 +309,7 @@ def grouped_by(x, y):
     return values, np.split(y[order], starts[1:])
 
 
-def exact_links(members: DataFrame, full: DataFrame) -> DataFrame:
+def exact_links(members: DataFrame, full: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """Links (a, b) that connect the similar sets of each group, by their full sets (set, hashes).
 
     A pair whose sets are connected already, within the group or by their roots, is passed over.
@@ -314,14 +323,14 @@ def exact_links(members: DataFrame, full: DataFrame) -> DataFrame:
             starts, links = group_starts(part, GROUP), []
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 hashes, name = part["hashes"][s:e], part["set"][s:e]
-                x, y = hopeful_pairs(part, np.stack([cells(h.view(np.uint64)) for h in hashes]), s, e)
+                x, y = hopeful_pairs(part, np.stack([cells(h.view(np.uint64)) for h in hashes]), s, e, similar)
                 label = np.unique(part["root"][s:e], return_inverse=True)[1]
                 for i, others in zip(*grouped_by(x - s, y - s), strict=True):
                     others = others[label[others] != label[i]]
                     while len(others):
                         j, others = others[0], others[1:]
                         both = len(np.intersect1d(hashes[i], hashes[j], assume_unique=True))
-                        if both * 100 >= (len(hashes[i]) + len(hashes[j]) - both) * SIMILAR:
+                        if both * 100 >= (len(hashes[i]) + len(hashes[j]) - both) * similar:
                             links.append((int(name[i]), int(name[j])))
                             label[label == label[j]] = label[i]
                             others = others[label[others] != label[i]]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from truegrain.llm.common import numbered
 from truegrain.llm.tokens import tokenizer_path, word_ids
+from truegrain.session import materialize
 
 #: Pieces of up to FINE tokens have a size class each; longer ones are rounded up to multiples of UNIT.
 FINE, UNIT, END = 64, 16, 2
@@ -131,7 +132,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     own. Pieces are narrow rows: they are counted by size class, the plan is made from those counts,
     and each piece finds its sequence from its rank within its class. Texts are read once.
     """
-    rows = numbered(token_pieces(docs, key, text, path or tokenizer_path(), window, end), "size", "_rank")
+    # written first, so a task runs one Python worker at a time
+    rows = numbered(materialize(token_pieces(docs, key, text, path or tokenizer_path(), window, end), "pieces"), "size", "_rank")
     counts = {r[0]: r[1] for r in rows.groupBy("size").count().collect()}  # a row for each size class
     base, taken, ranges = 0, dict.fromkeys(counts, 0), {s: [] for s in counts}
     for uses, n in packing_plan(counts, window):

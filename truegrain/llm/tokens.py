@@ -5,7 +5,7 @@ from __future__ import annotations
 from array import array
 
 #: Words kept by a worker; beyond it the cache starts anew. Longer words are not kept.
-CACHE_WORDS, CACHE_LENGTH = 400_000, 40
+CACHE_WORDS, CACHE_LENGTH = 100_000, 40
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
