@@ -21,6 +21,14 @@ def test_compatibility():
     assert not report["backward"] and not report["forward"] and report["verdict"] == "reject"
 
 
+def test_written_nulls_stay(spark):
+    """A default is for what was not written; a required field takes it for NULL too."""
+    writer = TableContract("t", (FieldRule("a", "int"), FieldRule("b", "int")))
+    reader = TableContract("t", (FieldRule("a", "bigint", default=7), FieldRule("b", "int", required=True, default=8), FieldRule("c", "int", default=9)))
+    old = spark.createDataFrame([(None, None), (1, 2)], "a int, b int")
+    assert sorted((tuple(r) for r in evolution.read_as(old, writer, reader).collect()), key=str) == [(1, 2, 9), (None, 8, 9)]
+
+
 def test_read_as(spark):
     old = spark.createDataFrame([("a", 3)], "id string, n int")
     writer = TableContract("t", (FieldRule("id"), FieldRule("n", "int"), FieldRule("gone")))

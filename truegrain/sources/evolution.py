@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from truegrain.plans.contract import NO_DEFAULT, FieldRule, TableContract
 
-# Widenings that lose nothing, as writer type -> reader types.
+# The widenings of schema resolution, as writer type -> reader types. Large whole numbers may round as float or double.
 WIDENS = {
     "int": {"bigint", "float", "double"},
     "bigint": {"float", "double"},
@@ -45,7 +45,11 @@ def reading_problems(writer: TableContract, reader: TableContract) -> list[str]:
 
 
 def read_as(df: DataFrame, writer: TableContract, reader: TableContract) -> DataFrame:
-    """Data of the writer as the reader wants it: by name, with defaults, unknown columns skipped."""
+    """Data of the writer as the reader wants it: by name, with defaults, unknown columns skipped.
+
+    A default stands in for a field that was not written. A NULL that was written stays one, unless the
+    reader requires the field and so has no place for it.
+    """
     problems = reading_problems(writer, reader)
     if problems:
         raise Incompatible("; ".join(problems))
@@ -55,7 +59,7 @@ def read_as(df: DataFrame, writer: TableContract, reader: TableContract) -> Data
         default = None if f.default is NO_DEFAULT else f.default
         if f.name in written:
             value = F.col(f.name).cast(f.type)
-            columns.append((F.coalesce(value, F.lit(default).cast(f.type)) if default is not None else value).alias(f.name))
+            columns.append((F.coalesce(value, F.lit(default).cast(f.type)) if f.required and default is not None else value).alias(f.name))
         else:
             columns.append(F.lit(default).cast(f.type).alias(f.name))
     return df.select(*columns)
