@@ -46,7 +46,7 @@ def rep_04(spark, d):
     return R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT).withColumn("p", F.round("p", 6))
 
 
-def _frequency_sql():
+def _frequency_sql(p="round(b.p, 6)"):
     same = lambda c: f"r.{c} IS NOT DISTINCT FROM f.{c}"
     differing = " + ".join(f"(NOT ({same(c)}))::INT" for c in ENTITY)
     logp = "ln(f.support::DOUBLE) + " + " + ".join(f"CASE WHEN {same(c)} THEN ln(0.99::DOUBLE) ELSE ln(0.01::DOUBLE * 0.5::DOUBLE) END" for c in ENTITY)
@@ -54,7 +54,7 @@ def _frequency_sql():
     text = ", ".join(f"{c}::VARCHAR AS {c}" for c in ENTITY)
     order = ", ".join(f"f_{c} DESC" for c in ENTITY)
     cells = " UNION ALL ".join(
-        f"SELECT t.delivery_id::VARCHAR AS row_id, '{c}' AS \"column\", t.{c} AS old_value, b.f_{c} AS new_value, round(b.p, 6) AS p FROM t JOIN best b USING ({cols}) WHERE t.{c} IS DISTINCT FROM b.f_{c}"
+        f"SELECT t.delivery_id::VARCHAR AS row_id, '{c}' AS \"column\", t.{c} AS old_value, b.f_{c} AS new_value, {p} AS p FROM t JOIN best b USING ({cols}) WHERE t.{c} IS DISTINCT FROM b.f_{c}"
         for c in ENTITY
     )
     return f"""{CTES}, t AS (SELECT delivery_id, {text} FROM deliveries), c AS (SELECT {cols}, count(*) AS support FROM t GROUP BY ALL),
@@ -68,6 +68,13 @@ def _frequency_sql():
 
 @query("rep_04_constant_similarity", _frequency_sql())
 def rep_04_constant(spark, d):
+    out = R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT, constant_similarity=0.5, pairs=True)
+    return out.select("row_id", "column", "old_value", "new_value", F.round("p", 6).alias("p"))
+
+
+@query("rep_04_support_sums", _frequency_sql("round(round(b.p, 12), 6)"))
+def rep_04_sums(spark, d):
+    """As rep_04_constant_similarity, from sums per agreeing column subset in place of pairs."""
     out = R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT, constant_similarity=0.5)
     return out.select("row_id", "column", "old_value", "new_value", F.round("p", 6).alias("p"))
 

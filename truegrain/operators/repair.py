@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from truegrain.functions.scalars import convert_unit
 from truegrain.functions.similarity import indel_ratio
+from truegrain.operators.agreement import most_probable, tuple_key
 from truegrain.operators.aggregates import frequent_tuples
 from truegrain.operators.diff import to_cells
 from truegrain.operators.joins import lookup, map_values
@@ -80,28 +81,13 @@ def repair_fuzzy(
 
 
 
-def repair_by_frequency(
-    df: DataFrame, row_id: str, cols: list[str], min_support: int = 30, eps: float = 0.01,
-    accept: float = 0.9, constant_similarity: float | None = None,
-) -> DataFrame:
-    """Rare value combinations become the most probable frequent one at most two columns away.
-
-    log p = log support + per column log(1 - eps) if equal, else log(eps * similarity); the best
-    candidate carries its softmax probability. Candidates and scores are per distinct tuple; edits
-    are joined back to rows at the end. `decision` is auto at p >= accept, else review.
-    """
-    text = df.select(F.col(row_id), *[F.col(c).cast("string").alias(c) for c in cols])
-    counts = frequent_tuples(text, cols, min_support)
-    rare = counts.filter(~F.col("frequent")).select(*cols)
-    known = counts.filter("frequent").select(*cols, "support")
-    pairs = agreeing_tuples(rare, known, cols, max_differences=2)
+def _by_pairs(rare: DataFrame, known: DataFrame, cols: list[str], similarity: dict, eps: float) -> DataFrame:
+    """`most_probable` with a row for every pair of tuples; their number grows with the square of the tuples."""
+    pairs = agreeing_tuples(rare.select(*cols), known.select(*cols, "support"), cols, max_differences=2)
     logp = F.log(F.col("f_support").cast("double"))
     for c in cols:
-        if constant_similarity is not None:
-            sim = F.lit(constant_similarity)
-        elif c.endswith("_id"):
-            sim = F.lit(0.05)
-        else:
+        sim = F.lit(similarity[c])
+        if similarity[c] is None:
             sim = F.greatest(indel_ratio(F.coalesce(c, F.lit("")), F.coalesce(f"f_{c}", F.lit(""))) / 100, F.lit(0.01))
         logp = logp + F.when(
             F.col(c).eqNullSafe(F.col(f"f_{c}")), F.lit(math.log(1 - eps))
@@ -117,12 +103,30 @@ def repair_by_frequency(
         .groupBy(*cols)
         .agg(F.sum(F.exp(F.col("logp") - F.col("_top"))).alias("_z"))
     )
-    repaired = join_back(best, total, cols).withColumn("p", 1 / F.col("_z"))
-    rows = join_back(text, repaired, cols)
+    out = join_back(best, total, cols)
+    return out.select(tuple_key(cols).alias("_r"), F.col("_best.to").alias("_best"), (1 / F.col("_z")).alias("p"))
+
+
+def repair_by_frequency(
+    df: DataFrame, row_id: str, cols: list[str], min_support: int = 30, eps: float = 0.01,
+    accept: float = 0.9, constant_similarity: float | None = None, pairs: bool = False,
+) -> DataFrame:
+    """Rare value combinations become the most probable frequent one at most two columns away.
+
+    log p = log support + per column log(1 - eps) if equal, else log(eps * similarity); the best
+    candidate carries its softmax probability. The similarity of ids is 0.05, that of other columns the
+    one of their texts, or `constant_similarity` for all. `decision` is auto at p >= accept, else review.
+    `pairs` scores every pair as a row of its own: the same result up to rounding, for small data.
+    """
+    text = df.select(F.col(row_id), *[F.col(c).cast("string").alias(c) for c in cols])
+    counts = frequent_tuples(text, cols, min_support)
+    similarity = {c: constant_similarity or (0.05 if c.endswith("_id") else None) for c in cols}
+    best = (_by_pairs if pairs else most_probable)(counts.filter(~F.col("frequent")), counts.filter("frequent"), cols, similarity, eps)
+    rows = text.withColumn("_r", tuple_key(cols)).join(best, "_r")
     edits = F.explode(
         F.array(
             *[
-                F.struct(F.lit(c).alias("column"), F.col(c).alias("old_value"), F.col(f"_best.to.{c}").alias("new_value"))
+                F.struct(F.lit(c).alias("column"), F.col(c).alias("old_value"), F.col(f"_best.{c}").alias("new_value"))
                 for c in cols
             ]
         )
