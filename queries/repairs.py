@@ -32,7 +32,7 @@ def rep_02(spark, d):
 @query("rep_03_fuzzy_repair")
 def rep_03(spark, d):
     t = Retail(spark, d)
-    return R.repair_fuzzy(t["deliveries"], "delivery_id", "product_name", "product_id", t["catalog"], "name", "id").withColumn(
+    return R.repair_fuzzy(t["deliveries"], "delivery_id", "product_name", "product_id", t["catalog"], "name", "id", suggest=None).withColumn(
         "similarity", F.round("similarity", 6)
     )
 

@@ -32,6 +32,25 @@ def test_nearest_equals_brute_force(spark, cutoff):
             assert got[v] == (None, None)
 
 
+@pytest.mark.parametrize("block", [7, 2000])
+def test_nearest_at_any_similarity_equals_brute_force(spark, monkeypatch, block):
+    """Exact names, empty texts, long ones and values that share no letter with any name."""
+    monkeypatch.setattr(M, "BLOCK", block)
+    rng = random.Random(block)
+    names = [*words(rng, 60), *(f"name{i:03d}" for i in range(40)), "x" * 80, ""]
+    values = [*words(rng, 60), "name007", "naem0077", "zzzz", "", "x" * 70 + "y", "éé", None]
+    rows = [*enumerate(names), *((1000 + i, n) for i, n in enumerate(names[:20])), (5000, None)]
+    catalog = spark.createDataFrame(rows, "id bigint, name string")
+    entered = spark.createDataFrame([(v,) for v in values + values[:9]], "v string")
+    got = {r.v: (r.best_id, r.similarity) for r in M.nearest(entered, "v", catalog, "name", "id", None).collect()}
+    assert set(got) == set(values) - {None}
+    for v in got:
+        score, best = max((indel_percent(v, n), -i) for i, n in enumerate(names))
+        assert got[v][0] == -best and got[v][1] == pytest.approx(score)
+    assert M.nearest(entered, "v", catalog.limit(0), "name", "id", None).filter("best_id IS NOT NULL").count() == 0
+    assert M.nearest(entered.limit(0), "v", catalog, "name", "id", None).collect() == []
+
+
 def test_agreeing_tuples_equal_brute_force(spark):
     rng = random.Random(5)
     make = lambda n: sorted({tuple(rng.choice("ab") + c for c in "vwxyz") for _ in range(n)})
@@ -80,6 +99,13 @@ def test_fuzzy_repair_decides(spark):
     assert out == {"10": ("auto", "Cauliflower"), "11": ("review", "Blueberries"), "13": ("review", None)}
 
 
+def test_fuzzy_repair_suggests_at_any_similarity(spark):
+    catalog = spark.createDataFrame([(1, "Cauliflower"), (2, "Blueberries")], "id bigint, name string")
+    rows = spark.createDataFrame([(10, 1, "Bxxxberxxxx"), (11, 2, "zzzz")], "row bigint, item bigint, name string")
+    out = {r.row_id: (r.decision, r.new_value) for r in R.repair_fuzzy(rows, "row", "name", "item", catalog, "name", "id", suggest=None).collect()}
+    assert out == {"10": ("review", "Blueberries"), "11": ("review", "Cauliflower")}
+
+
 def test_edits_apply_and_score(spark):
     df = spark.createDataFrame([(1, "Kg", 2.0), (2, "kg", -1.0)], "id bigint, unit string, v double")
     edits = R.repair_by_mapping(df, "id", "unit", {"Kg": "kg"}).unionByName(

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truegrain.functions.predicates import as_col
-from truegrain.functions.similarity import indel_ratio
+from truegrain.functions.similarity import indel_matrix, indel_ratio
+from truegrain.session import materialize
 
 
 def _budget(a: Column, b: Column, cutoff: float) -> Column:
@@ -65,31 +68,82 @@ def candidates(values: DataFrame, value: str, names: DataFrame, name: str, cutof
     return grams.join(pieces, ["_n", "_v", "_piece"]).select(value, name).distinct()
 
 
+#: Names and values a task compares with each other at a time.
+BLOCK = 2000
+#: Bounds that `nearest` tries in turn where any similarity will do.
+BOUNDS = (85.0, 65.0)
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """(_value, _best) of (_value, _name, _id, _score): the highest score, then the lowest id."""
+    order = F.struct((-F.col("_score")).alias("s"), F.col("_id").alias("i"))
+    return scored.groupBy("_value").agg(F.min_by(F.struct("_name", "_id", "_score"), order).alias("_best"))
+
+
+def _best_within(keys: DataFrame, catalog: DataFrame, cutoff: float, scorer) -> DataFrame:
+    pairs = candidates(keys, "_value", catalog.select("_key").distinct(), "_key", cutoff)
+    scored = pairs.withColumn("_score", scorer(F.col("_value"), F.col("_key"))).filter(F.col("_score") >= cutoff)
+    return _best(scored.join(catalog, "_key"))
+
+
+def _best_in_blocks(keys: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Every value against every name, a block of each at a time; a value leaves a block with its best name only."""
+    width = lambda df: max(1, -(-df.count() // BLOCK))
+    rows, columns = width(keys), width(catalog)
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = keys.select("_value", place("_value", rows).alias("_i"), every(columns).alias("_j"))
+    known = catalog.select("_key", "_name", "_id", place("_key", columns).alias("_j"), every(rows).alias("_i"))
+    schema = T.StructType(
+        [T.StructField("_value", T.StringType()), *catalog.select("_name", "_id").schema, T.StructField("_score", T.DoubleType())]
+    )
+
+    def compare(values: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        if values.empty or names.empty:
+            return pd.DataFrame(columns=schema.names)
+        names = names.sort_values("_id", kind="stable")
+        scores = indel_matrix(values["_value"].tolist(), names["_key"].tolist())
+        best = names.iloc[scores.argmax(axis=1)].reset_index(drop=True)
+        return pd.DataFrame({"_value": values["_value"].array, "_name": best["_name"], "_id": best["_id"], "_score": scores.max(axis=1)})
+
+    return _best(asked.groupBy("_i", "_j").cogroup(known.groupBy("_i", "_j")).applyInPandas(compare, schema))
+
+
 def nearest(
-    df: DataFrame, value: str, names: DataFrame, name: str, name_id: str, cutoff: float,
+    df: DataFrame, value: str, names: DataFrame, name: str, name_id: str, cutoff: float | None,
     normalize=None, scorer=indel_ratio,
 ) -> DataFrame:
     """Best name of each distinct value with similarity >= cutoff; the lowest id wins a tie.
 
     Values without such a name keep NULLs. `normalize` (a Column function, e.g. sorted tokens) is
-    applied to both sides first. The scorer sees distinct candidate pairs only.
+    applied to both sides first. The scorer sees distinct candidate pairs only. With the usual scorer
+    a value that is a name itself is settled first. Without a cutoff every value gets its best name, if
+    there is any: falling bounds settle most values, the others are compared with all names in blocks.
     """
+    if cutoff is None and scorer is not indel_ratio:
+        raise ValueError("a scorer of your own needs a cutoff")
     tidy = normalize or (lambda c: as_col(c))
     values = df.select(F.col(value)).filter(F.col(value).isNotNull()).distinct().withColumn("_value", tidy(value))
     named = names.select(F.col(name).alias("_name"), F.col(name_id).alias("_id")).withColumn("_key", tidy("_name"))
     # of items that share a name only the lowest id can be the answer
-    catalog = named.groupBy("_key").agg(F.min_by("_name", "_id").alias("_name"), F.min("_id").alias("_id"))
-    pairs = candidates(values.select("_value").distinct(), "_value", catalog.select("_key").distinct(), "_key", cutoff)
-    scored = pairs.withColumn("_score", scorer(F.col("_value"), F.col("_key"))).filter(F.col("_score") >= cutoff)
-    best = (
-        scored.join(catalog, "_key")
-        .groupBy("_value")
-        .agg(
-            F.min_by(
-                F.struct("_name", "_id", "_score"), F.struct((-F.col("_score")).alias("s"), F.col("_id").alias("i"))
-            ).alias("_best")
-        )
-    )
+    catalog = named.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.min_by("_name", "_id").alias("_name"), F.min("_id").alias("_id"))
+    keys = values.select("_value").distinct()
+    if scorer is not indel_ratio:
+        best = _best_within(keys, catalog, cutoff, scorer)
+    else:
+        if cutoff is None:
+            keys, catalog = materialize(keys, "entered"), materialize(catalog, "catalog")
+        itself = F.struct("_name", "_id", F.lit(100.0).alias("_score")).alias("_best")
+        best = keys.join(catalog, F.col("_value") == F.col("_key")).select("_value", itself)
+        keys = keys.join(catalog.select(F.col("_key").alias("_value")), "_value", "left_anti")
+        if cutoff is not None:
+            best = best.unionByName(_best_within(keys, catalog, cutoff, scorer))
+        else:
+            for bound in BOUNDS:
+                found = materialize(_best_within(keys, catalog, bound, scorer), "nearest")
+                best = best.unionByName(found)
+                keys = materialize(keys.join(found, "_value", "left_anti"), "entered")
+            best = best.unionByName(_best_in_blocks(keys, catalog))
     return values.join(best, "_value", "left").select(
         value,
         F.col("_best._name").alias("best_name"),

@@ -56,13 +56,13 @@ def repair_placeholder(df, row_id: str, column: str, values) -> DataFrame:
 
 def repair_fuzzy(
     df: DataFrame, row_id: str, name: str, item_id: str, catalog: DataFrame, catalog_name: str,
-    catalog_id: str, accept: float = 85.0, suggest: float = 60.0,
+    catalog_id: str, accept: float = 85.0, suggest: float | None = 60.0,
 ) -> DataFrame:
     """Suspects are rows whose name is not that of their id. `decision` is auto or review.
 
     Automatic only where the nearest name is the one of the row's own id at `accept` or better;
     items may share a name, of which `best_id` is the lowest.
-    Reviews carry the nearest name at `suggest` or better, if there is one.
+    Reviews carry the nearest name at `suggest` or better, if there is one; for None, whatever its similarity.
     """
     own = catalog.select(F.col(catalog_id).alias("_own"), F.col(catalog_name).alias("_own_name"))
     suspects = df.join(own, F.col(item_id) == F.col("_own"), "left").filter(~F.col(name).eqNullSafe(F.col("_own_name")))
