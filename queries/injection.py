@@ -95,10 +95,12 @@ def inj_03_hash(spark, d):
 
 @query(
     "inj_04_wrong_reference",
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 6 THEN (o_custkey + 1) % 150 ELSE o_custkey END AS customer FROM orders",
+    """WITH ids AS (SELECT id, coalesce(lead(id) OVER (ORDER BY id), min(id) OVER ()) AS next_id FROM (SELECT DISTINCT c_custkey AS id FROM customer))
+    SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 6 THEN coalesce(next_id, o_custkey) ELSE o_custkey END AS customer FROM orders LEFT JOIN ids ON o_custkey = id""",
 )
 def inj_04(spark, d):
-    dirty = run(spark, d, [I.Injector("o_custkey", "wrong_reference", I.next_reference("o_custkey", 150), rows=lambda: K() % 50 == 6)])
+    based = I.with_successor(order_base(spark, d), "o_custkey", customer(spark, d), "c_custkey")
+    dirty, _ = I.inject(based, "orders", K(), [I.Injector("o_custkey", "wrong_reference", I.next_existing("o_custkey"), rows=lambda: K() % 50 == 6)], ["o_orderkey"])
     return dirty.select("o_orderkey", F.col("o_custkey").alias("customer"))
 
 

@@ -195,3 +195,40 @@ def test_latest_windows_over_several_batches(spark, tmp_path):
     out = E.windowed_metrics(stream, "ts", {"n": F.count(F.lit(1)), "total": F.sum("value")}, delay="10 days")
     got = E.run_latest(out, "latest", ["window_start"], folder=str(tmp_path / "out")).orderBy("window_start").collect()
     assert [(r.n, r.total) for r in got] == [(12, 24.0), (12, 24.0)]
+
+
+def plain_lof(x, k):
+    """All pairs; the neighbourhood has all rows as far as the k-th nearest."""
+    gaps = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(gaps, np.inf)
+    k = min(k, len(x) - 1)
+    if k < 1:
+        return np.ones(len(x))
+    kth = np.sort(gaps, axis=1)[:, k - 1]
+    near = gaps <= kth[:, None]
+    reach = np.where(near, np.maximum(kth[None, :], np.where(near, gaps, 0)), 0)
+    density = 1 / (reach.sum(axis=1) / near.sum(axis=1) + 1e-10)
+    return (near * density[None, :]).sum(axis=1) / near.sum(axis=1) / density
+
+
+@pytest.mark.parametrize(("cell", "k"), [(64, 10), (64, 100), (4096, 100)])
+def test_lof_of_three_features_by_brute_force(spark, cell, k):
+    from truegrain.operators import density
+
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(0, 1, (900, 3)), 1)
+    x[:250, 0] = 0.0
+    x[:130] = [0.0, 0.5, 1.0]
+    x[-3:] = [[9, 9, 9], [-7, 0, 4], [1e3, -1e3, 0]]
+    pdf = pd.DataFrame({"id": np.arange(900), "g": ["a/b"] * 600 + [None] * 298 + ["one"] * 2, "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(900, "a/b", None, 1.0, 1.0), (901, "a/b", float("nan"), 1.0, 1.0), (902, "alone", 1.0, 1.0, 1.0)], "id long, g string, a double, b double, c double"))
+    out = density.lof(df, "id", ["a", "b", "c"], ["g"], k=k, cell=cell).toPandas().set_index("id").lof.sort_index()
+    want = np.concatenate([plain_lof(x[s], k) for s in (slice(0, 600), slice(600, 898), slice(898, 900))])
+    assert out.index.tolist() == [*range(900), 902] and out[902] == 1.0
+    assert np.allclose(out.to_numpy()[:900], want, rtol=1e-6)
+
+
+def test_lof_of_an_empty_table(spark):
+    from truegrain.operators import density
+
+    assert density.lof(spark.createDataFrame([], "id long, a double, b double"), "id", ["a", "b"]).count() == 0

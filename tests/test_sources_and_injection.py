@@ -110,3 +110,18 @@ def test_diff_ignores_equal_numbers_and_blank_nulls(spark):
     old = spark.createDataFrame([(1, "1.0", None), (2, "a", "x")], "id int, a string, b string")
     new = spark.createDataFrame([(1, "1", ""), (2, "a", None)], "id int, a string, b string")
     assert [tuple(r) for r in diff.cell_diff(old, new, ["id"], ["a", "b"]).collect()] == [(2, "b", "x", None)]
+
+
+def test_next_existing_id(spark):
+    from truegrain.operators import inject
+
+    ids = spark.createDataFrame([(v,) for v in (7, 3, 100, 3, None, 55, -4)], "id long")
+    assert {tuple(r) for r in inject.successors(ids, "id").collect()} == {(-4, 3), (3, 7), (7, 55), (55, 100), (100, -4)}
+    assert [tuple(r) for r in inject.successors(ids.filter("id = 7"), "id").collect()] == [(7, 7)]
+    names = spark.createDataFrame([("b",), ("a",), ("c",)], "id string")
+    assert {tuple(r) for r in inject.successors(names, "id").collect()} == {("a", "b"), ("b", "c"), ("c", "a")}
+    many = inject.successors(spark.range(0, 3000, 3), "id").collect()
+    assert {(r.id, r.next_id) for r in many} == {(i, (i + 3) % 3000) for i in range(0, 3000, 3)}
+    rows = spark.createDataFrame([(1, 100), (2, 8), (3, None)], "k int, ref long")
+    dirty = inject.with_successor(rows, "ref", ids, "id").withColumn("ref", inject.next_existing("ref")())
+    assert {tuple(r) for r in dirty.select("k", "ref").collect()} == {(1, -4), (2, 8), (3, None)}

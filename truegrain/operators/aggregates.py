@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from truegrain.functions.predicates import as_col
 from truegrain.operators.ranks import heavy, join_back, quantiles, running, value_counts
+from truegrain.session import materialize
 
 
 def share(good: Column, null_is_bad: bool = False) -> Column:
@@ -52,7 +53,8 @@ def missing_cells(df: DataFrame, axis: str, keys: str) -> DataFrame:
     """
     seen = df.select(axis, keys).distinct()
     places = seen.select(axis).distinct().filter(F.col(axis).isNotNull())
-    places = places.withColumn("_place", F.row_number().over(Window.orderBy(axis)))
+    numbered = running(places.withColumn("_one", F.lit(1)), [], axis, {"_place": ("sum", "_one")}, spread=True)
+    places = materialize(numbered.select(axis, "_place"), "places")
     last = places.agg(F.coalesce(F.max("_place"), F.lit(0)).alias("n")).scalar()
     taken = seen.join(places, axis, "left").select(keys, F.coalesce("_place", F.lit(0)).alias("_to"))
     ends = seen.select(keys).distinct().select(keys, (last + 1).alias("_to"))

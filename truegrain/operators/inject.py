@@ -10,9 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from truegrain.operators.ranks import with_bucket
+from truegrain.session import materialize
+
 LOG = ["table_name", "row_id", "column", "error_type", "clean_value", "dirty_value"]
 SLOTS = 1_000_000
 
@@ -142,6 +145,31 @@ def next_reference(column: str, count: int, first: int = 0) -> Callable[[], Colu
     return lambda: (F.col(column) - first + 1) % count + first
 
 
+def successors(ids: DataFrame, column: str) -> DataFrame:
+    """(id, next_id): the next greater id that exists, after the last one the first; NULLs are no ids.
+
+    Ids are cut into buckets of about equal size. The last id of a bucket is followed by the first one of
+    the next bucket, so only one row per bucket meets in one task. A single id follows itself.
+    """
+    found = materialize(ids.select(F.col(column).alias("id")).filter(F.col("id").isNotNull()).distinct(), "ids")
+    rows = materialize(with_bucket(found, "id"), "bucketed")
+    firsts = rows.groupBy("_bucket").agg(F.min("id").alias("_low"))
+    after = firsts.select("_bucket", F.coalesce(F.lead("_low").over(Window.orderBy("_bucket")), F.min("_low").over(Window.partitionBy())).alias("_after"))
+    following = F.lead("id").over(Window.partitionBy("_bucket").orderBy("id"))
+    return rows.withColumn("_next", following).join(after, "_bucket").select("id", F.coalesce("_next", "_after").alias("next_id"))
+
+
+def with_successor(df: DataFrame, column: str, ids: DataFrame, id_column: str, name: str = "next_id") -> DataFrame:
+    """`df` with the next existing id after `column`, NULL where `column` holds none of the ids."""
+    following = successors(ids, id_column).select(F.col("id").alias("_id"), F.col("next_id").alias(name))
+    return df.join(following, F.col(column) == F.col("_id"), "left").drop("_id")
+
+
+def next_existing(column: str, name: str = "next_id") -> Callable[[], Column]:
+    """A wrong but valid id, from `with_successor`; an id that does not exist stays."""
+    return lambda: F.coalesce(F.col(name), F.col(column))
+
+
 def other_column(column: str) -> Callable[[], Column]:
     return lambda: F.col(column).cast("string")
 
