@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from queries import query
-from queries.predicates import events
+from queries.predicates import events, part
 from queries.retail import CTES, Retail
 from queries.rules import error_log
+from truegrain.operators import density
 from truegrain.operators import dependencies as D
 from truegrain.operators import detect as M
 from truegrain.operators.diff import union_all
@@ -61,6 +62,18 @@ def ml_05(spark, d):
     return M.lof(rows, "event_id", "value", ["event_type"], k=20).withColumn("lof", F.round("lof", 6))
 
 
+@query(
+    "ml_05_lof_several_features",
+    """WITH p AS (SELECT p_partkey AS id, p_size::DOUBLE AS a, p_retailprice AS b FROM part WHERE p_size IS NOT NULL AND isfinite(p_retailprice)),
+    near AS (SELECT p, q, d FROM (SELECT x.id AS p, y.id AS q, sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)) AS d FROM p x JOIN p y ON x.id <> y.id) QUALIFY rank() OVER (PARTITION BY p ORDER BY d) <= 100),
+    kth AS (SELECT p, max(d) AS kth FROM near GROUP BY p),
+    density AS (SELECT near.p, 1 / (avg(greatest(kth, d)) + 1e-10) AS density FROM near JOIN kth ON q = kth.p GROUP BY near.p)
+    SELECT near.p AS p_partkey, round(avg(o.density) / any_value(s.density), 6) AS lof FROM near JOIN density o ON q = o.p JOIN density s ON near.p = s.p GROUP BY near.p""",
+)
+def ml_05_several(spark, d):
+    return density.lof(part(spark, d), "p_partkey", ["p_size", "p_retailprice"], k=100).withColumn("lof", F.round("lof", 6))
+
+
 @query(
     "ml_06_fd_violations",
     CTES + """, u AS (SELECT product_id, product_name AS usual FROM (SELECT product_id, product_name, row_number() OVER (PARTITION BY product_id ORDER BY count(*) DESC, product_name) AS place FROM deliveries GROUP BY 1, 2) WHERE place = 1)
