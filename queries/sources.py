@@ -1,16 +1,17 @@
 """Sources, sinks and schema-on-read over the driver tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queries import query
-from queries.predicates import events, orders, part
+from queries.predicates import events, lineitem, orders, part
 from queries.retail import CTES, Retail
 from truegrain.functions import scalars as S
 from truegrain.operators.documents import flatten_json, merged_shape, shape_census
 from truegrain.operators.validate import validate_on_write
 from truegrain.plans.contract import FieldRule, TableContract
 from truegrain.session import scratch_path, tune
-from truegrain.sources import evolution, readers, sinks
+from truegrain.sources import evolution, nested, readers, sinks
 from truegrain.sources.profile import type_profile
 
 
@@ -176,6 +177,24 @@ def src_14(spark, d):
     return evolution.read_as(old, EVENT_V1, EVENT_V2).withColumn("value", F.round("value", 4))
 
 
+ITEM_V1 = T.StructType().add("part", "bigint").add("quantity", "int").add("flag", "string", True, {"symbols": ["A", "N", "R"]})
+ITEM_V2 = T.StructType().add("quantity", "bigint").add("product", "bigint", True, {"aliases": ["part"]}).add("unit", "string", False, {"default": "pc"}).add("flag", "string", True, {"symbols": ["A", "R"], "symbol_default": "open"})
+ORDER_V1 = T.StructType().add("order", "bigint").add("lines", T.ArrayType(ITEM_V1))
+ORDER_V2 = T.StructType().add("order", "bigint").add("items", T.ArrayType(ITEM_V2), True, {"aliases": ["lines"]})
+
+
+@query(
+    "src_14_read_nested",
+    """SELECT l_orderkey AS "order", l_partkey AS product, l_quantity::INTEGER::BIGINT AS quantity, 'pc' AS unit,
+    CASE WHEN l_returnflag IS NULL OR l_returnflag IN ('A', 'R') THEN l_returnflag ELSE 'open' END AS flag FROM lineitem""",
+)
+def src_14_nested(spark, d):
+    """Order lines written as an array of structs, read with renamed, widened, added and remapped fields."""
+    line = F.struct(F.col("l_partkey").alias("part"), F.round("l_quantity").cast("int").alias("quantity"), F.col("l_returnflag").alias("flag"))
+    old = lineitem(spark, d).select(F.col("l_orderkey").alias("order"), F.array(line).alias("lines"))
+    return nested.read_nested(old, ORDER_V1, ORDER_V2).select("order", F.inline("items"))
+
+
 EVENT_V3 = TableContract("event", (FieldRule("event_id", "bigint", required=True), FieldRule("value", "string", required=True), FieldRule("register", required=True)))
 
 

@@ -125,3 +125,32 @@ def test_next_existing_id(spark):
     rows = spark.createDataFrame([(1, 100), (2, 8), (3, None)], "k int, ref long")
     dirty = inject.with_successor(rows, "ref", ids, "id").withColumn("ref", inject.next_existing("ref")())
     assert {tuple(r) for r in dirty.select("k", "ref").collect()} == {(1, -4), (2, 8), (3, None)}
+
+
+def test_nested_evolution_both_ways(spark):
+    from pyspark.sql import types as T
+
+    from truegrain.sources import nested
+
+    S, F_ = T.StructType, T.StructField
+    item1 = S([F_("sku", T.StringType()), F_("qty", T.IntegerType()), F_("note", T.StringType())])
+    v1 = S([F_("id", T.LongType(), False), F_("kind", T.StringType(), True, {"symbols": ["web", "shop", "fax"]}), F_("lines", T.ArrayType(item1)), F_("by.hand", S([F_("n", T.FloatType())])), F_("tags", T.MapType(T.StringType(), T.IntegerType()))])
+    item2 = S([F_("qty", T.LongType()), F_("code", T.StringType(), True, {"aliases": ["ean", "sku"]}), F_("unit", T.StringType(), False, {"default": "pc"})])
+    v2 = S([
+        F_("id", T.LongType(), False), F_("kind", T.StringType(), True, {"symbols": ["web", "shop"], "symbol_default": "other"}), F_("items", T.ArrayType(item2), False, {"aliases": ["lines"], "default": [{"qty": 1, "code": "none", "unit": "pc"}]}),
+        F_("by.hand", S([F_("n", T.DoubleType()), F_("why", T.StringType())])), F_("tags", T.MapType(T.StringType(), T.LongType())), F_("at", S([F_("city", T.StringType())]), True, {"default": {"city": "?"}}),
+    ])
+    assert nested.nested_problems(v1, v2) == []
+    rows = spark.createDataFrame([(1, "fax", [("a", 2, "x"), None], (0.5,), {"k": 7, "l": None}), (2, None, None, None, None), (3, "web", [], (None,), {})], v1)
+    assert [r.asDict(True) for r in nested.read_nested(rows, v1, v2).orderBy("id").collect()] == [
+        {"id": 1, "kind": "other", "items": [{"qty": 2, "code": "a", "unit": "pc"}, None], "by.hand": {"n": 0.5, "why": None}, "tags": {"k": 7, "l": None}, "at": {"city": "?"}},
+        {"id": 2, "kind": None, "items": [{"qty": 1, "code": "none", "unit": "pc"}], "by.hand": None, "tags": None, "at": {"city": "?"}},
+        {"id": 3, "kind": "web", "items": [], "by.hand": {"n": None, "why": None}, "tags": {}, "at": {"city": "?"}},
+    ]
+    back = nested.nested_problems(v2, v1)
+    assert [p.split(":")[0] for p in back] == ["by.hand.n", "tags{}"]
+    assert any("fax" in p for p in nested.nested_problems(v1, S([F_("kind", T.StringType(), True, {"symbols": ["web", "shop"]})])))
+    with pytest.raises(evolution.Incompatible, match="items\\[\\].qty"):
+        nested.read_nested(rows, S([F_("items", T.ArrayType(S([F_("qty", T.StringType())])))]), v2)
+    empty = nested.read_nested(rows.limit(0), v1, v2)
+    assert empty.count() == 0 and empty.columns == v2.names
