@@ -177,10 +177,10 @@ def src_14(spark, d):
     return evolution.read_as(old, EVENT_V1, EVENT_V2).withColumn("value", F.round("value", 4))
 
 
-ITEM_V1 = T.StructType().add("part", "bigint").add("quantity", "int").add("flag", "string", True, {"symbols": ["A", "N", "R"]})
-ITEM_V2 = T.StructType().add("quantity", "bigint").add("product", "bigint", True, {"aliases": ["part"]}).add("unit", "string", False, {"default": "pc"}).add("flag", "string", True, {"symbols": ["A", "R"], "symbol_default": "open"})
-ORDER_V1 = T.StructType().add("order", "bigint").add("lines", T.ArrayType(ITEM_V1))
-ORDER_V2 = T.StructType().add("order", "bigint").add("items", T.ArrayType(ITEM_V2), True, {"aliases": ["lines"]})
+ITEM_V1 = T.StructType().add("part", "long").add("quantity", "integer").add("flag", "string", True, {"symbols": ["A", "N", "R"]})
+ITEM_V2 = T.StructType().add("quantity", "long").add("product", "long", True, {"aliases": ["part"]}).add("unit", "string", False, {"default": "pc"}).add("flag", "string", True, {"symbols": ["A", "R"], "symbol_default": "open"})
+ORDER_V1 = T.StructType().add("order", "long").add("lines", T.ArrayType(ITEM_V1))
+ORDER_V2 = T.StructType().add("order", "long").add("items", T.ArrayType(ITEM_V2), True, {"aliases": ["lines"]})
 
 
 @query(
