@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from array import array
 
-#: Words kept by a worker; beyond it the cache starts anew. Longer words are not kept.
-CACHE_WORDS, CACHE_LENGTH = 100_000, 40
+#: Words kept by a worker; beyond it the cache starts anew, beside the one before it. Longer words are not kept.
+CACHE_WORDS, CACHE_LENGTH = 150_000, 40
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -32,6 +32,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.older = {}
         self.encoder = Tokenizer.from_file(path)
         self.model = self.encoder.model.tokenize
         self.split = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
@@ -55,9 +56,12 @@ class WordIds(dict):
         return self.piece(low) if parts == [word] else b"".join(map(self.__getitem__, parts))
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
                 self.clear()
                 dict.__setitem__(self, "", b"")
             dict.__setitem__(self, word, ids)
