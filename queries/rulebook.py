@@ -1,5 +1,7 @@
 """Rules and scorecard checks of the retail view, table by table."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from truegrain.functions import predicates as P
@@ -35,7 +37,12 @@ def sold_beyond_stock(t):
     return J.oversold(t["sales"], t["inventory"], arrivals, CELL[1:], "date", "quantity", "on_hand_system", "arrived")
 
 
-def rulebook(period):
+def code_used_once(codes):
+    """Of the products whose codes, as the table `codes` holds them, are equal, the first one is good."""
+    return replace(unique("code used once", "reject", codes, ["gtin"], ["id"]), table="products")
+
+
+def rulebook(period, codes="products"):
     return [
         # products
         holds("code has its check digit", "reject", "products", lambda: gtin13_valid(pad_code("gtin", 13))),
@@ -43,7 +50,7 @@ def rulebook(period):
               lambda: P.conditional_set("category", "unit", UNITS_BY_CATEGORY, ("count",))),
         holds("value is not a stand-in", "repair", "products",
               lambda: ~P.placeholder(F.col("shelf_life_days").try_cast("bigint"), NO_SHELF_LIFE)),
-        unique("code used once", "reject", "products", ["gtin"], ["id"]),
+        code_used_once(codes),
         refers("known supplier", "reject", "products", "supplier_id", "suppliers"),
         found_by("price grows with the pack", "flag", "products", cheaper_packs),
         # suppliers and stores
