@@ -41,6 +41,13 @@ def _keyed(df: DataFrame, cols: list[str], sets: dict[int, tuple[int, ...]]) ->
     return df.withColumn("_k", F.explode(F.array(*keys))).withColumn("_s", F.col("_k.s")).withColumn("_key", F.col("_k.key")).drop("_k")
 
 
+def pair_rows(rare: DataFrame, known: DataFrame, cols: list[str], max_differences: int = 2) -> int:
+    """Rows of a join of the tuples under the values of all columns but `max_differences`."""
+    sets = dict(enumerate(combinations(range(len(cols)), min(max_differences, len(cols)))))
+    counted = lambda df, n: _keyed(df.select(*cols), cols, sets).groupBy("_s", "_key").agg(F.count(F.lit(1)).alias(n))
+    return counted(rare, "_i").join(counted(known, "_j"), ["_s", "_key"]).agg(F.sum(F.col("_i") * F.col("_j"))).first()[0] or 0
+
+
 def _weights(sets: dict[int, tuple[int, ...]], odds) -> dict[int, float]:
     """What a unit of support under each set's key adds to the total of all odds.
 
@@ -123,7 +130,8 @@ def _text_rows(rare, known, cols, sets, similarity, eps) -> DataFrame:
 
 
 def most_probable(
-    rare: DataFrame, known: DataFrame, cols: list[str], similarity: dict[str, float | None], eps: float, max_differences: int = 2
+    rare: DataFrame, known: DataFrame, cols: list[str], similarity: dict[str, float | None], eps: float, max_differences: int = 2,
+    digits: int = 12,
 ) -> DataFrame:
     """(_r, _best, p): per rare tuple the most probable known one at most `max_differences` columns away.
 
@@ -159,6 +167,6 @@ def most_probable(
         parts.append(rows.select("_r", "z", "logp", F.struct(*cols).alias("to")))
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     best = found.groupBy("_r").agg(F.sum("z").alias("_z"), F.max(F.struct("logp", "to")).alias("_b"))
-    # twelve digits: shares of equal odds come out the same in any order of summation
-    p = F.least(F.round(F.exp("_b.logp") / F.col("_z"), 12), F.lit(1.0))
+    # rounded: shares of equal odds come out the same in any order of summation
+    p = F.least(F.round(F.exp("_b.logp") / F.col("_z"), digits), F.lit(1.0))
     return best.select("_r", F.col("_b.to").alias("_best"), p.alias("p"))

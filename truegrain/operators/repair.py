@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from truegrain.functions.scalars import convert_unit
 from truegrain.functions.similarity import indel_ratio
-from truegrain.operators.agreement import most_probable, tuple_key
+from truegrain.operators.agreement import most_probable, pair_rows, tuple_key
 from truegrain.operators.aggregates import frequent_tuples
 from truegrain.operators.diff import to_cells
 from truegrain.operators.joins import lookup, map_values
 from truegrain.operators.match import agreeing_tuples, nearest
 from truegrain.operators.ranks import join_back
+from truegrain.session import materialize
+
+#: Pairs of tuples that `repair_by_frequency` scores as rows.
+PAIRS = 50_000_000
 
 
 def star(fact: DataFrame, dimensions: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -82,7 +86,9 @@ def repair_fuzzy(
 
 
 def _by_pairs(rare: DataFrame, known: DataFrame, cols: list[str], similarity: dict, eps: float) -> DataFrame:
-    """`most_probable` with a row for every pair of tuples; their number grows with the square of the tuples."""
+    """`most_probable` with a row for every pair of tuples; beyond PAIRS rows, as their square grows, without them."""
+    if pair_rows(rare, known, cols) > PAIRS:
+        return most_probable(rare, known, cols, similarity, eps, digits=15)
     pairs = agreeing_tuples(rare.select(*cols), known.select(*cols, "support"), cols, max_differences=2)
     logp = F.log(F.col("f_support").cast("double"))
     for c in cols:
@@ -116,10 +122,12 @@ def repair_by_frequency(
     log p = log support + per column log(1 - eps) if equal, else log(eps * similarity); the best
     candidate carries its softmax probability. The similarity of ids is 0.05, that of other columns the
     one of their texts, or `constant_similarity` for all. `decision` is auto at p >= accept, else review.
-    `pairs` scores every pair as a row of its own: the same result up to rounding, for small data.
+    `pairs` scores every pair as a row of its own while they are at most PAIRS: the same result up to rounding.
     """
     text = df.select(F.col(row_id), *[F.col(c).cast("string").alias(c) for c in cols])
     counts = frequent_tuples(text, cols, min_support)
+    if pairs:
+        counts = materialize(counts, "tuples")
     similarity = {c: constant_similarity or (0.05 if c.endswith("_id") else None) for c in cols}
     best = (_by_pairs if pairs else most_probable)(counts.filter(~F.col("frequent")), counts.filter("frequent"), cols, similarity, eps)
     rows = text.withColumn("_r", tuple_key(cols)).join(best, "_r")
