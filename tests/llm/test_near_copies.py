@@ -39,3 +39,18 @@ def test_a_similarity_of_just_four_fifths_counts(documents):
     assert [10 * len(shingles(texts[0][1]) & shingles(t)) >= 8 * len(shingles(texts[0][1]) | shingles(t)) for _, t in texts[1:]] == [True, False]
     assert sorted(r.doc_id for r in drop_near_copies(documents(texts[:2])).collect()) == [1]
     assert sorted(r.doc_id for r in drop_near_copies(documents([texts[0], texts[2]])).collect()) == [1, 3]
+
+
+def test_fingerprints_propose_pairs_that_the_shingle_sets_confirm(documents, monkeypatch):
+    from truegrain.llm import near_copies
+    from truegrain.llm.simhash import fingerprint_pairs, simhash
+
+    words = [f"w{i}" for i in range(400)]
+    texts = {1: " ".join(words), 2: " ".join([*words, "x"]), 3: " ".join(f"v{i}" for i in range(400))}
+    assert (simhash(texts[1]) ^ simhash(texts[2])).bit_count() <= 2 < (simhash(texts[1]) ^ simhash(texts[3])).bit_count()
+    rows = near_copies.sketches(documents([*texts.items()]), "doc_id", "text", simhash)
+    sets = {r._id: r._set for r in rows.collect()}
+    assert [{r.a, r.b} for r in fingerprint_pairs(rows).collect()] == [{sets[1], sets[2]}]
+    # without a band in common the fingerprints alone still tie the copies
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes, *_: hashes[:1].view("i8") ^ len(hashes))
+    assert sorted(r.doc_id for r in drop_near_copies(documents([*texts.items()])).collect()) == [1, 3]

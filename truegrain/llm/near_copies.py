@@ -62,23 +62,25 @@ def band_keys(hashes, factors, summands):
     return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], dtype=np.uint64).view(np.int64)
 
 
-def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_id, _digest, _set, _size, _bands) of every document."""
+def sketches(docs: DataFrame, key: str, text: str, fingerprint) -> DataFrame:
+    """(_id, _digest, _print, _set, _size, _bands) of every document; _print is its unsigned `fingerprint` as a signed number."""
 
     def sketch(batches):
+        import numpy as np
         import pyarrow as pa
 
         factors, summands = permutations()
         for batch in batches:
-            sets, sizes, bands = [], [], []
+            prints, sets, sizes, bands = [], [], [], []
             for value in batch.column(2):
                 hashes = shingle_hashes(value.as_py())
+                prints.append(fingerprint(value.as_py()))
                 sets.append(set_name(hashes))
                 sizes.append(len(hashes))
                 bands.append(band_keys(hashes, factors, summands))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["_id", "_digest", "_set", "_size", "_bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["_id", "_digest", "_print", "_set", "_size", "_bands"])
 
-    schema = T.StructType([T.StructField("_id", docs.schema[key].dataType), *(T.StructField(n, T.LongType()) for n in ("_digest", "_set", "_size")), T.StructField("_bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("_id", docs.schema[key].dataType), *(T.StructField(n, T.LongType()) for n in ("_digest", "_print", "_set", "_size")), T.StructField("_bands", T.ArrayType(T.LongType()))])
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     return docs.select(F.col(key).alias("_id"), digest.alias("_digest"), F.col(text).alias("_text")).mapInArrow(sketch, schema)
 
@@ -111,9 +113,10 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.filter(both * 10 >= (F.size("_left") + F.size("_right") - both) * int(SIMILAR * 10)).select("a", "b")
 
 
-def near_sets(docs: DataFrame, rows: DataFrame, text: str) -> DataFrame:
+def near_sets(docs: DataFrame, rows: DataFrame, text: str, met_before: DataFrame) -> DataFrame:
     """(_set, _group) for the shingle sets of `rows` that similar pairs tie to a lesser one, the least reachable.
 
+    The pairs (a, b) of `met_before`, of different sets in `rows`, are compared first; bands propose the others.
     Members of a band's group are first compared with its least member, then those that this leaves
     in different components with each other, in the tasks that hold them: blocks of a group first, and what
     is still apart in each two blocks of a group. Only links that connect sets leave a task, so neither
@@ -126,8 +129,10 @@ def near_sets(docs: DataFrame, rows: DataFrame, text: str) -> DataFrame:
     # sizes of similar sets are within SIMILAR of each other
     close = lambda a, b: F.least(a, b) * 10 >= F.greatest(a, b) * int(SIMILAR * 10)
     partnered = met.filter((F.col("_set") != F.col("_first._set")) & close(F.col("_size"), F.col("_first._size")))
-    stars = materialize(partnered.select(F.col("_set").alias("a"), F.col("_first._set").alias("b")).distinct(), "stars")
-    digests = rows.groupBy("_set").agg(F.min("_digest").alias("_digest")).join(met.select("_set").distinct(), "_set", "left_semi")
+    stars = partnered.select(F.col("_set").alias("a"), F.col("_first._set").alias("b")).unionByName(met_before.select("a", "b"))
+    stars = materialize(stars.distinct(), "stars")
+    named = met.select("_set").unionByName(stars.select(F.col("a").alias("_set"))).unionByName(stars.select(F.col("b").alias("_set")))
+    digests = rows.groupBy("_set").agg(F.min("_digest").alias("_digest")).join(named.distinct(), "_set", "left_semi")
     sets = materialize(shingle_sets(docs, digests.select("_digest"), text).dropDuplicates(["_set"]), "sets")
     links = materialize(similar(stars, sets), "links")
     full = sets.select(F.col("_set").alias("set"), F.col("_hashes").alias("hashes"))

@@ -159,14 +159,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.select(F.col("_id").alias(key), F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def fingerprint_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): each set of rows (_print, _set) that is not the least of its fingerprints' group, and that least one.
+
+    Groups are those that fingerprints within RADIUS form, found in the shards' BK-trees.
+    """
+    tied = materialize(rows.select("_print", "_set").distinct(), "tied")
+    groups = near_groups(tied).withColumnRenamed("_print", "_p")
+    grouped = materialize(tied.join(groups, F.col("_print") == F.col("_p")).select("_set", "_group"), "tied_groups")
+    least = grouped.groupBy("_group").agg(F.min("_set").alias("b"))
+    return grouped.join(least, "_group").filter("_set != b").select(F.col("_set").alias("a"), "b").distinct()
+
+
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with their columns, of each group of near copies the one with the least key (then text hash); a null key loses.
 
-    A corpus loses copies at a similarity of 0.8 in five-word shingles, which two bits of op8's fingerprint do not reach.
+    Fingerprints within RADIUS propose pairs of texts, which an exact similarity of 0.8 in five-word shingles confirms. Two bits
+    do not reach all copies at that similarity, so MinHash bands propose the others, confirmed likewise.
     Texts without words are one group, rows that repeat a key and text are one document. An empty table gives no rows.
     """
-    rows = materialize(sketches(docs, key, text), "sketches")
-    groups = materialize(near_sets(docs, rows, text), "grouped")
+    rows = materialize(sketches(docs, key, text, simhash), "sketches")
+    groups = materialize(near_sets(docs, rows, text, fingerprint_pairs(rows)), "grouped")
     grouped = materialize(rows.join(groups, "_set", "left").select("_id", "_digest", F.coalesce("_group", "_set").alias("_group")), "members")
     best = F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id"), F.col("_digest")))
     return apply_decisions(docs, decisions(grouped, best), key, text)
