@@ -4,8 +4,9 @@ A rare tuple and a known one that differ in a set of columns agree on the others
 those columns' values. Where the differing columns have a constant similarity, every known tuple of
 that key has the same odds but for its support: the key's support sum and its best-supported tuple
 are all a rare tuple needs. Keys that hold tuples of fewer differences as well are set right by
-inclusion and exclusion. Where a differing column is compared as text, blocks of the key's tuples are
-compared in the tasks, and one row a rare tuple and block leaves them.
+inclusion and exclusion. Where a differing column is compared as text, the same holds for each of the
+key's texts: blocks of its distinct texts are compared in the tasks, and one row a rare text and block
+leaves them.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from truegrain.functions.similarity import indel_matrix
+from truegrain.functions.similarity import indel_matrix, indel_percent
 from truegrain.session import materialize
 
-#: Known and rare tuples of one key that a task compares at a time, and rows a task call gets.
+#: Known and rare texts of one key that a task compares at a time, and rows a task call gets.
 BLOCK = 2000
 LEAST = 0.01
 
@@ -61,72 +62,111 @@ def _weights(sets: dict[int, tuple[int, ...]], odds) -> dict[int, float]:
     return out
 
 
+def _pair_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of the texts of two columns of pairs, each pair of texts compared once; NULL is empty."""
+    blank = lambda values: pd.factorize(np.array(["" if v is None else v for v in values], dtype=object))
+    (i, left), (j, right) = blank(a[0]), blank(b[0])
+    if len(left) * len(right) <= len(a[1]):
+        return indel_matrix(list(left), list(right))[i[a[1]], j[b[1]]] / 100
+    both, back = np.unique(i[a[1]] * len(right) + j[b[1]], return_inverse=True)
+    return np.array([indel_percent(left[n // len(right)], right[n % len(right)]) for n in both])[back] / 100
+
+
 def _compare(cols, sets, similarity, eps):
-    """Cogrouped rare and known tuples: per rare tuple and key the total odds and the best known tuple."""
-    names = ["_r", "z", "logp", *cols]
+    """Cogrouped values of rare and known tuples: per rare value and key the odds of the known ones and the best tuple.
+
+    The odds are those of the texts alone, `logp` counts every column of the set as different.
+    """
+    block = ["_s", "_key", "_i", "_j"]
+    names = ["_s", "_key", "_v", "z", "logp", *cols]
     same = math.log(1 - eps)
 
     def compare(rare: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        found, block = [], ["_s", "_key", "_i", "_j"]
-        left = rare.groupby(block, sort=False).indices
-        right = known.groupby(block, sort=False).indices
-        r_values = {c: rare[c].to_numpy(object) for c in cols}
-        k_values = {c: known[f"known_{c}"].to_numpy(object) for c in cols}
-        r_ids, support = rare["_r"].to_numpy(object), known["support"].to_numpy("float64")
-        for key, rows in left.items():
-            if key not in right:
-                continue
-            at = right[key]
-            logp = np.log(support[at])[None, :].repeat(len(rows), axis=0)
-            open_ = np.ones(logp.shape, dtype=bool)
-            for i, c in enumerate(cols):
-                if i not in sets[key[0]]:
-                    logp += same
-                    continue
-                a, b = r_values[c][rows], k_values[c][at]
-                open_ &= a[:, None] != b[None, :]
-                if similarity[c] is not None:
-                    logp += math.log(eps * similarity[c])
-                else:
-                    blank = lambda values: ["" if v is None else v for v in values]
-                    logp += np.log(eps * np.maximum(indel_matrix(blank(a), blank(b)) / 100, LEAST))
-            for n, row in enumerate(rows):
-                hits = np.flatnonzero(open_[n])
-                if not len(hits):
-                    continue
-                top = logp[n, hits].max()
-                tied = [tuple(k_values[c][at[h]] for c in cols) for h in hits[logp[n, hits] == top]]
-                best = max(tied, key=lambda t: tuple((v is not None, v or "") for v in t))
-                found.append((r_ids[row], float(np.exp(logp[n, hits]).sum()), float(top), *best))
-        return pd.DataFrame(found, columns=names)
+        # known rows in the order of their keys: those of a rare row's key are neighbours
+        codes = pd.concat([rare[block], known[block]]).groupby(block, sort=False).ngroup().to_numpy()
+        mine, theirs = codes[: len(rare)], codes[len(rare) :]
+        order = np.argsort(theirs, kind="stable")
+        known, theirs = known.iloc[order], theirs[order]
+        start = np.searchsorted(theirs, mine)
+        count = np.searchsorted(theirs, mine, side="right") - start
+        rare, start, count = rare[count > 0], start[count > 0], count[count > 0]
+        if rare.empty:
+            return pd.DataFrame(columns=names)
+        first = np.cumsum(count) - count
+        r = np.repeat(np.arange(len(rare)), count)
+        k = np.arange(len(r)) - first[r] + start[r]
+        support = known["support"].to_numpy("float64")
+        set_of = rare["_s"].to_numpy()[r]
+        logp, odds, open_ = np.log(support)[k], known["_n"].to_numpy("float64")[k], np.ones(len(r), dtype=bool)
+        for i, c in enumerate(cols):
+            apart = np.isin(set_of, [s for s, differing in sets.items() if i in differing])
+            step = np.full(len(r), same)
+            if similarity[c] is not None:
+                step[apart] = math.log(eps * similarity[c])
+            elif apart.any():
+                a, b = rare[c].to_numpy(object), known[f"known_{c}"].to_numpy(object)
+                at = np.flatnonzero(apart)
+                open_[at] &= a[r[at]] != b[k[at]]
+                alike = eps * np.maximum(_pair_similarity((a, r[at]), (b, k[at])), LEAST)
+                step[at] = np.log(alike)
+                odds[at] *= alike
+            logp += step
+        top = np.maximum.reduceat(np.where(open_, logp, -np.inf), first)
+        held = [known[f"known_{c}"].to_numpy(object) for c in cols]
+        rank = np.empty(len(known), dtype=np.int64)
+        rank[sorted(range(len(known)), key=lambda n: tuple((v[n] is not None, v[n] or "") for v in held))] = np.arange(len(known))
+        best = np.maximum.reduceat(np.where(open_ & (logp == top[r]), rank[k], -1), first)
+        found, at = best >= 0, np.argsort(rank)[best]
+        z = np.add.reduceat(np.where(open_, odds, 0.0), first)
+        out = [*(rare[c].to_numpy(object) for c in ("_s", "_key", "_v")), z, top, *(v[at] for v in held)]
+        return pd.DataFrame({n: v[found] for n, v in zip(names, out)})
 
     return compare
 
 
 def _text_rows(rare, known, cols, sets, similarity, eps) -> DataFrame:
-    """(_r, z, logp, cols) from tuples that differ in exactly one of `sets`, compared in blocks."""
-    rare, known = _keyed(rare, cols, sets), _keyed(known, cols, sets)
+    """(_r, z, logp, to) from tuples that differ in one of `sets`, in every column that is compared as text.
+
+    Under a key, tuples with the same texts in these columns are compared once: the known ones by their support
+    sum and their best-supported tuple, which stands for tuples that agree in a column of constant similarity
+    as well; their odds are better under a smaller set, and the weights take them out of this set's sum.
+    """
+    text = {s: tuple(i for i in d if similarity[cols[i]] is None) for s, d in sets.items()}
+    value = F.coalesce(*[F.when(F.col("_s") == s, tuple_key([cols[i] for i in d])) for s, d in text.items()])
+    keyed = lambda df: _keyed(df, cols, sets).withColumn("_v", value).groupBy("_s", "_key", "_v")
+    known = materialize(keyed(known).agg(F.sum("support").alias("_n"), F.max(F.struct("support", F.struct(*cols).alias("to"))).alias("_t")), "known")
+    values = materialize(keyed(rare).agg(F.first(F.struct(*cols)).alias("_t")), "rare")
     blocks = lambda df, name: df.groupBy("_s", "_key").agg(F.count(F.lit(1)).alias(name))
-    plan = materialize(blocks(rare, "_ni").join(blocks(known, "_nj"), ["_s", "_key"]), "agreement")
+    plan = materialize(blocks(values, "_ni").join(blocks(known, "_nj"), ["_s", "_key"]), "agreement")
     calls = -(-(plan.agg(F.sum(F.col("_ni") + F.col("_nj"))).first()[0] or 1) // BLOCK)
     pieces = lambda n: F.ceil(F.col(n) / BLOCK).cast("int").alias(n)
     plan = plan.select("_s", "_key", pieces("_ni"), pieces("_nj"))
-    place = lambda n: F.pmod(F.xxhash64(*cols), F.col(n)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("_v"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rare = rare.join(plan, ["_s", "_key"]).withColumn("_i", place("_ni")).withColumn("_j", every("_nj"))
-    known = known.join(plan, ["_s", "_key"]).withColumn("_j", place("_nj")).withColumn("_i", every("_ni"))
+    left = values.join(plan, ["_s", "_key"]).withColumn("_i", place("_ni")).withColumn("_j", every("_nj"))
+    right = known.join(plan, ["_s", "_key"]).withColumn("_j", place("_nj")).withColumn("_i", every("_ni"))
     # small keys share a call, a block of a large key fills one
     spread = F.when((F.col("_ni") > 1) | (F.col("_nj") > 1), F.xxhash64("_s", "_key", "_i", "_j")).otherwise(
         F.pmod(F.xxhash64("_s", "_key"), F.lit(calls))
     )
     schema = T.StructType(
-        [T.StructField("_r", T.StringType()), T.StructField("z", T.DoubleType()), T.StructField("logp", T.DoubleType())]
+        [T.StructField("_s", T.IntegerType()), T.StructField("_key", T.StringType()), T.StructField("_v", T.StringType())]
+        + [T.StructField("z", T.DoubleType()), T.StructField("logp", T.DoubleType())]
         + [T.StructField(c, T.StringType()) for c in cols]
     )
     keep = ["_s", "_key", "_i", "_j", "_call"]
-    left = rare.withColumn("_call", spread).select("_r", *cols, *keep).groupBy("_call")
-    right = known.withColumn("_call", spread).select("support", *[F.col(c).alias(f"known_{c}") for c in cols], *keep).groupBy("_call")
-    return left.cogroup(right).applyInPandas(_compare(cols, sets, similarity, eps), schema)
+    left = left.withColumn("_call", spread).select("_v", *[F.col(f"_t.{c}").alias(c) for c in cols], *keep)
+    right = right.withColumn("_call", spread).select("_n", "_t.support", *[F.col(f"_t.to.{c}").alias(f"known_{c}") for c in cols], *keep)
+    found = left.groupBy("_call").cogroup(right.groupBy("_call")).applyInPandas(_compare(cols, sets, similarity, eps), schema)
+    found = found.groupBy("_s", "_key", "_v").agg(F.sum("z").alias("z"), F.max(F.struct("logp", F.struct(*cols).alias("to"))).alias("_b"))
+    weights = {}
+    for compared in set(text.values()):
+        alike = {s: d for s, d in sets.items() if text[s] == compared}
+        rest = lambda d: [similarity[cols[i]] for i in d if similarity[cols[i]] is not None]
+        weights |= _weights(alike, lambda d: (1 - eps) ** (len(cols) - len(d)) * math.prod(eps * x for x in rest(d)))
+    weight = F.element_at(F.create_map(*[F.lit(x) for s, w in weights.items() for x in (s, w)]), F.col("_s"))
+    met = _keyed(rare, cols, sets).withColumn("_v", value).select("_r", "_s", "_key", "_v").join(found, ["_s", "_key", "_v"])
+    return met.select("_r", (weight * F.col("z")).alias("z"), "_b.logp", "_b.to")
 
 
 def most_probable(
@@ -163,8 +203,7 @@ def most_probable(
             logp = logp + F.when(F.col(c).eqNullSafe(F.col(f"_t.to.{c}")), F.lit(math.log(1 - eps))).otherwise(other)
         parts.append(met.select("_r", (weight * F.col("_n")).alias("z"), logp.alias("logp"), F.col("_t.to").alias("to")))
     if text:
-        rows = _text_rows(rare, known, cols, text, similarity, eps)
-        parts.append(rows.select("_r", "z", "logp", F.struct(*cols).alias("to")))
+        parts.append(_text_rows(rare, known, cols, text, similarity, eps))
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     best = found.groupBy("_r").agg(F.sum("z").alias("_z"), F.max(F.struct("logp", "to")).alias("_b"))
     # rounded: shares of equal odds come out the same in any order of summation

@@ -125,9 +125,7 @@ def repair_by_frequency(
     `pairs` scores every pair as a row of its own while they are at most PAIRS: the same result up to rounding.
     """
     text = df.select(F.col(row_id), *[F.col(c).cast("string").alias(c) for c in cols])
-    counts = frequent_tuples(text, cols, min_support)
-    if pairs:
-        counts = materialize(counts, "tuples")
+    counts = materialize(frequent_tuples(text, cols, min_support), "tuples")
     similarity = {c: constant_similarity or (0.05 if c.endswith("_id") else None) for c in cols}
     best = (_by_pairs if pairs else most_probable)(counts.filter(~F.col("frequent")), counts.filter("frequent"), cols, similarity, eps)
     rows = text.withColumn("_r", tuple_key(cols)).join(best, "_r")
