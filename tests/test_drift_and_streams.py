@@ -232,3 +232,20 @@ def test_lof_of_an_empty_table(spark):
     from truegrain.operators import density
 
     assert density.lof(spark.createDataFrame([], "id long, a double, b double"), "id", ["a", "b"]).count() == 0
+
+
+def test_row_numbers_do_not_order_all_rows_in_one_task(spark):
+    from truegrain.operators.detect import _row_numbers
+
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        rows = spark.range(3000).withColumnRenamed("id", "row")
+        out = _row_numbers(rows, "row", 3).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(coalesce, before)
+    assert sorted(r._number for r in out) == list(range(1, 3001))
+    expected = [r.row for r in rows.orderBy(F.xxhash64(F.lit(3), "row")).collect()]
+    assert [r.row for r in sorted(out, key=lambda r: r._number)] == expected
+    assert len({r.task for r in out}) > 1

@@ -240,7 +240,7 @@ def permutation_importance(
     """Mean loss of AUC when one column is shuffled across rows.
 
     A shuffle pairs row i of one pseudo-random order with row i of another one. Both orders are
-    running counts over hash values, so no task orders the whole table. Each repeat joins once;
+    running counts over hash values, in buckets of the hash. Each repeat joins once;
     a row then becomes one row per feature with that feature swapped, and all are scored together.
     """
     from truegrain.operators.aggregates import roc_auc
@@ -280,9 +280,13 @@ def permutation_importance(
 
 
 def _row_numbers(df: DataFrame, row_id: str, seed: int) -> DataFrame:
-    """Dense row numbers in a pseudo-random order of the rows."""
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(row_id))).withColumn("_one", F.lit(1))
-    return running(hashed, [], "_hash", {"_number": ("sum", "_one")}).drop("_hash", "_one")
+    """Dense row numbers in a pseudo-random order of the rows, counted in 256 buckets by the first byte of the hash."""
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(row_id))).withColumn("_bucket", F.shiftright("_hash", 56))
+    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", row_id))
+    numbered = hashed.withColumn("_place", place).join(F.broadcast(sizes.select("_bucket", earlier.alias("_before"))), "_bucket")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_place")).alias("_number"))
 
 
 def compare_detectors(scores: DataFrame, detector: str, score: str, row_id: str, truth: Column) -> DataFrame:
