@@ -126,3 +126,17 @@ def test_agreement_with_unknown_matches(spark):
     make = lambda ok: agrees("r", "flag", "rows", "known", "key = other_key", "value = other_value", unknown_ok=ok)
     ids = lambda rule: sorted(r.row_id for r in run_rules(known, [rule]).collect())
     assert ids(make(True)) == ["2"] and ids(make(False)) == ["2", "3", "4"]
+
+
+def test_distinct_checks_have_partitions_enough_for_large_tables(spark):
+    """However few partitions the session starts with; small ones are joined while the query runs."""
+    import re
+
+    from truegrain.plans.checks import distinct_check
+
+    table = spark.range(10).selectExpr("id AS a", "id % 3 AS b")
+    frame = distinct_check("t", "one row a cell", "a", "b").frame({"t": table})
+    dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\)", frame._jdf.queryExecution().executedPlan().toString())
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert dealt and min(int(n) for n in dealt) >= 256
+    assert frame.first().score == 1.0

@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     # split a hot join key even where that costs one more shuffle behind the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of a task stay few as the input grows: small files, and many small partitions that are joined where data are few
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "256",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 _scratch: list[str] = []
