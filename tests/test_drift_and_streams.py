@@ -249,3 +249,23 @@ def test_row_numbers_do_not_order_all_rows_in_one_task(spark):
     expected = [r.row for r in rows.orderBy(F.xxhash64(F.lit(3), "row")).collect()]
     assert [r.row for r in sorted(out, key=lambda r: r._number)] == expected
     assert len({r.task for r in out}) > 1
+
+
+def test_detector_kernels_keep_their_values():
+    from truegrain.operators.detect import _lof_line
+
+    def plain(x, k):
+        n = len(x)
+        k = min(k, n - 1)
+        near = []
+        for i in range(n):
+            others = [j for j in range(max(0, i - k), min(n, i + k + 1)) if j != i]
+            near.append(sorted(others, key=lambda j: abs(x[j] - x[i]))[:k])
+        reach = [abs(x[near[i][-1]] - x[i]) for i in range(n)]
+        density = np.array([1 / (np.mean([max(reach[j], abs(x[j] - x[i])) for j in near[i]]) + 1e-10) for i in range(n)])
+        return np.array([density[near[i]].mean() / density[i] for i in range(n)])
+
+    rng = np.random.default_rng(5)
+    for n, k in ((2, 5), (7, 3), (60, 10), (300, 40)):
+        x = np.sort(np.round(rng.normal(size=n), 1))
+        np.testing.assert_allclose(_lof_line(x, k), plain(x, k), rtol=1e-12)

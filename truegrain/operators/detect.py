@@ -123,15 +123,15 @@ def isolation_score(forest, cols: list[str]) -> Column:
     def score(*series: pd.Series) -> pd.Series:
         points = np.column_stack([s.to_numpy(dtype=float) for s in series])
         total = np.zeros(len(points))
+        start, flat = np.arange(len(points)) * points.shape[1], points.ravel()
         for _, axis, value, left, right in forest:
+            # a leaf leads to itself, so all points go down together
+            leaf, here = axis < 0, np.arange(len(axis))
+            split, cut = np.where(leaf, 0, axis), np.where(leaf, -np.inf, value)
+            children = np.column_stack([np.where(leaf, here, right), np.where(leaf, here, left)]).ravel()
             at = np.zeros(len(points), dtype=int)
-            active = axis[at] >= 0
-            while active.any():
-                rows = np.flatnonzero(active)
-                node = at[rows]
-                go_left = points[rows, axis[node]] < value[node]
-                at[rows] = np.where(go_left, left[node], right[node])
-                active[rows] = axis[at[rows]] >= 0
+            while not leaf[at].all():
+                at = children[2 * at + (flat[start + split[at]] < cut[at])]
             total += value[at]
         return pd.Series(np.power(2.0, -(total / len(forest)) / max(expected, 1e-9)))
 
@@ -152,12 +152,13 @@ def _lof_line(x: np.ndarray, k: int) -> np.ndarray:
     k = min(k, n - 1)
     if k < 1:
         return np.full(n, 1.0)
-    offsets = np.concatenate([np.arange(-k, 0), np.arange(1, k + 1)])
-    where = np.arange(n)[:, None] + offsets[None, :]
-    inside = (where >= 0) & (where < n)
-    gaps = np.where(inside, np.abs(x[np.clip(where, 0, n - 1)] - x[:, None]), np.inf)
+    around = np.lib.stride_tricks.sliding_window_view(np.pad(x, k), 2 * k + 1)
+    gaps = np.abs(np.delete(around, k, axis=1) - x[:, None])
+    for i in range(k):  # places before the first and behind the last point
+        gaps[i, : k - i] = np.inf
+        gaps[n - 1 - i, k + i :] = np.inf
     nearest = np.argsort(gaps, axis=1, kind="stable")[:, :k]
-    index = np.take_along_axis(np.clip(where, 0, n - 1), nearest, axis=1)
+    index = np.arange(n)[:, None] + nearest - k + (nearest >= k)
     distance = np.take_along_axis(gaps, nearest, axis=1)
     reach = np.maximum(distance[:, -1][index], distance)
     density = 1.0 / (reach.mean(axis=1) + 1e-10)
