@@ -42,6 +42,12 @@ def _keyed(df: DataFrame, cols: list[str], sets: dict[int, tuple[int, ...]]) ->
     return df.withColumn("_k", F.explode(F.array(*keys))).withColumn("_s", F.col("_k.s")).withColumn("_key", F.col("_k.key")).drop("_k")
 
 
+def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join by shuffle. The files of stored tuples tell little of the rows that keys make of them, so the
+    byte threshold would send tables to the driver that are many times its size."""
+    return left.join(right.hint("merge"), on)
+
+
 def pair_rows(rare: DataFrame, known: DataFrame, cols: list[str], max_differences: int = 2) -> int:
     """Rows of a join of the tuples under the values of all columns but `max_differences`."""
     sets = dict(enumerate(combinations(range(len(cols)), min(max_differences, len(cols)))))
@@ -137,14 +143,14 @@ def _text_rows(rare, known, cols, sets, similarity, eps) -> DataFrame:
     known = materialize(keyed(known).agg(F.sum("support").alias("_n"), F.max(F.struct("support", F.struct(*cols).alias("to"))).alias("_t")), "known")
     values = materialize(keyed(rare).agg(F.first(F.struct(*cols)).alias("_t")), "rare")
     blocks = lambda df, name: df.groupBy("_s", "_key").agg(F.count(F.lit(1)).alias(name))
-    plan = materialize(blocks(values, "_ni").join(blocks(known, "_nj"), ["_s", "_key"]), "agreement")
+    plan = materialize(_meet(blocks(values, "_ni"), blocks(known, "_nj"), ["_s", "_key"]), "agreement")
     calls = -(-(plan.agg(F.sum(F.col("_ni") + F.col("_nj"))).first()[0] or 1) // BLOCK)
     pieces = lambda n: F.ceil(F.col(n) / BLOCK).cast("int").alias(n)
     plan = plan.select("_s", "_key", pieces("_ni"), pieces("_nj"))
     place = lambda n: F.pmod(F.xxhash64("_v"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = values.join(plan, ["_s", "_key"]).withColumn("_i", place("_ni")).withColumn("_j", every("_nj"))
-    right = known.join(plan, ["_s", "_key"]).withColumn("_j", place("_nj")).withColumn("_i", every("_ni"))
+    left = _meet(values, plan, ["_s", "_key"]).withColumn("_i", place("_ni")).withColumn("_j", every("_nj"))
+    right = _meet(known, plan, ["_s", "_key"]).withColumn("_j", place("_nj")).withColumn("_i", every("_ni"))
     # small keys share a call, a block of a large key fills one
     spread = F.when((F.col("_ni") > 1) | (F.col("_nj") > 1), F.xxhash64("_s", "_key", "_i", "_j")).otherwise(
         F.pmod(F.xxhash64("_s", "_key"), F.lit(calls))
@@ -165,7 +171,7 @@ def _text_rows(rare, known, cols, sets, similarity, eps) -> DataFrame:
         rest = lambda d: [similarity[cols[i]] for i in d if similarity[cols[i]] is not None]
         weights |= _weights(alike, lambda d: (1 - eps) ** (len(cols) - len(d)) * math.prod(eps * x for x in rest(d)))
     weight = F.element_at(F.create_map(*[F.lit(x) for s, w in weights.items() for x in (s, w)]), F.col("_s"))
-    met = _keyed(rare, cols, sets).withColumn("_v", value).select("_r", "_s", "_key", "_v").join(found, ["_s", "_key", "_v"])
+    met = _meet(_keyed(rare, cols, sets).withColumn("_v", value).select("_r", "_s", "_key", "_v"), found, ["_s", "_key", "_v"])
     return met.select("_r", (weight * F.col("z")).alias("z"), "_b.logp", "_b.to")
 
 
@@ -196,7 +202,7 @@ def most_probable(
         sums = _keyed(known, cols, fixed).groupBy("_s", "_key").agg(
             F.sum("support").alias("_n"), F.max(F.struct("support", F.struct(*cols).alias("to"))).alias("_t")
         )
-        met = _keyed(rare, cols, fixed).join(sums, ["_s", "_key"])
+        met = _meet(_keyed(rare, cols, fixed), sums, ["_s", "_key"])
         logp = F.log(F.col("_t.support").cast("double"))
         for c in cols:
             other = F.lit(None).cast("double") if similarity[c] is None else F.log(F.lit(eps) * F.lit(similarity[c]))
