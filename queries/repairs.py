@@ -43,7 +43,8 @@ SUPPORT = 5  # a product has about ten deliveries
 
 @query("rep_04_by_frequency")
 def rep_04(spark, d):
-    return R.repair_by_frequency(Retail(spark, d)["deliveries"], "delivery_id", ENTITY, min_support=SUPPORT).withColumn("p", F.round("p", 6))
+    deliveries = Retail(spark, d).shuffled("catalog")["deliveries"]
+    return R.repair_by_frequency(deliveries, "delivery_id", ENTITY, min_support=SUPPORT).withColumn("p", F.round("p", 6))
 
 
 def _frequency_sql(p="round(b.p, 6)"):
